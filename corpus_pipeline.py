@@ -1 +1,59 @@
-STAGES = []
+"""Corpus preparation: quality rules, near duplicates, repeated passages, benchmark passages, packing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from debutlens.llm import decontamination, packing, quality, simhash, suffix_dedup
+from debutlens.llm.common import stored
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.judge_quality(docs).filter("kept").select("row.*")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the smallest id."""
+    return simhash.one_of_each_group(docs)
+
+
+def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings that an earlier one holds; n_chars follows the text."""
+    kept = suffix_dedup.remove_repeats(docs).select("place", "kept_text")
+    rest = docs.withColumn("__place", F.monotonically_increasing_id()).drop("text")
+    joined = rest.join(kept, rest["__place"] == kept["place"]).withColumn("text", F.col("kept_text"))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return joined.select(*docs.columns)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.find_contamination(docs, items).filter("spans is null").select("row.*")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in the training sequences."""
+    return packing.packing_query(spark, sf_dir, docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeats", repeat_stage),
+    ("benchmark", benchmark_stage),
+    ("packing", packing_stage),
+]
+
+#: SimHash components, byte-pair tokens and best-fit places can't be said in SQL; tests check against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, counting, decontamination, packing, quality, sharding, simhash, warc
+from . import chat, counting, decontamination, interpolation, packing, quality, sharding, simhash, suffix_dedup, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.contamination_query,
     "op2_best_fit_packing": packing.packing_query,
+    "op3_suffix_dedup": suffix_dedup.suffix_query,
+    "op4_interpolated_scores": interpolation.scoring_query,
     "op5_chat_format": chat.chat_query,
     "op6_quality_rules": quality.quality_query,
     "op7_simhash_groups": simhash.simhash_query,

@@ -100,17 +100,30 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
-    """Per input row: row (struct of all input columns), fp long and component_id long (smallest id reachable).
+    """Per input row: row (struct of all input columns), place, fp long and component_id long (smallest id reachable).
 
     Rows of equal fingerprints are one node, so copies cost one row each. Null and empty texts share the
     fingerprint 0, which links like any other; null ids don't count for component_id unless a group has no
     other; repeated rows fall into one group; an empty table gives no rows.
     """
-    rows = stored(fingerprints(docs, text_col=text_col, shingle_words=shingle_words), "fingerprints")
+    rows = stored(fingerprints(docs, text_col=text_col, shingle_words=shingle_words).withColumn("place", F.monotonically_increasing_id()), "fingerprints")
     distinct = stored(rows.groupBy("fp").agg(F.min(F.col(f"row.{id_col}").cast("long")).alias("node")), "distinct")
     roots = components(neighbour_links(distinct.filter("node is not null"), max_distance))
     class_of = distinct.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return rows.join(class_of, "fp").select("row", "fp", "component_id")
+    return rows.join(class_of, "fp").select("row", "place", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that stay: of each group the one with the smallest id (of repeated ids, the first row).
+
+    Groups without any id go by their fingerprint. The rows that stay are told by an aggregate with partial
+    sums and joined by their place, so a group of any size is spread over tasks.
+    """
+    found = near_duplicates(docs, **options)
+    own = F.col(f"row.{options.get('id_col', 'doc_id')}").cast("long")
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
+    stays = found.groupBy(group.alias("g")).agg(F.min(F.struct(own.isNull().alias("n"), own.alias("id"), "place")).alias("m")).select(F.col("m.place").alias("place"))
+    return found.join(stays, "place", "left_semi").select("row.*")
 
 
 def simhash_query(spark, sf_dir: str) -> DataFrame:
