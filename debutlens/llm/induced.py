@@ -173,7 +173,9 @@ def sorted_suffixes(s: np.ndarray, sigma: int, depth: int, store: Store) -> Iter
 
     is_lms = store.array(n, bool)
     is_lms[lms] = True
+    held, end = store.held, store.end
     found = [part[is_lms[part]] for part in induce(s, is_s, seeded(lms), sigma, store)]
+    store.held, store.end = held, end  # the queues are done with
     order = np.concatenate(found)[::-1]  # rising; the sentinel first
     _, first = np.unique(order, return_index=True)
     order = order[np.sort(first)]
