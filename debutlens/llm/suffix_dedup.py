@@ -1,6 +1,6 @@
 """Removal of byte strings that an earlier document holds, by suffix sorting in shards.
 
-A string of 50 bytes is sought by its anchor, the smallest 20-byte hash inside it, which equal strings choose
+A string of 50 bytes is sought by its anchor, the smallest 24-byte hash inside it, which equal strings choose
 alike; so documents are cut into regions, one per anchor, that hold every 50-byte string of that anchor, and
 all occurrences of a string meet at one key. A region that also lies whole in an earlier document is removed
 outright. Where one anchor has different regions, the earliest document's copy of each goes to a shard of the
@@ -23,7 +23,7 @@ from .common import stored
 from .induced import repeated_windows
 from .keyed import chunk_of, narrow, packed, packed_keys, plan, range_edges, unpacked, unpacked_keys
 
-GRAM = 20
+GRAM = 24
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 BYTE_CODE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -74,7 +74,18 @@ def regions(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     last = np.append(first[1:], len(anchor)) - 1
     spot = first + ((anchor[first].astype(np.int64) - first) & int(PLACE))
     region = mixed((prefix[last + size] - prefix[first]) * power[first]) + (last - first).astype(np.uint64)
-    return grams[spot], region, first, last
+    # the anchors are minima and so lie low; mixed once more they fill all key ranges evenly
+    return mixed(grams[spot] + np.uint64(BASE)), region, first, last
+
+
+def pair_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Order by (first, second): by first alone, then the few equal ones among themselves."""
+    order = np.argsort(first)
+    same = first[order][1:] == first[order][:-1]
+    several = np.flatnonzero(np.append(False, same) | np.append(same, False))
+    own = order[several]
+    order[several] = own[np.lexsort((second[own], first[own]))]
+    return order
 
 
 def region_table(texts: list[bytes], ids: np.ndarray, size: int):
@@ -82,7 +93,7 @@ def region_table(texts: list[bytes], ids: np.ndarray, size: int):
     own = [regions(t, size) for t in texts]
     anchor, region, first, last = (np.concatenate(x) if x else np.zeros(0) for x in zip(*own, strict=True))
     row = np.repeat(np.arange(len(texts)), [len(x[0]) for x in own])
-    order = np.lexsort((region, anchor))
+    order = pair_order(anchor, region)
     anchor, region, first, last, row = (x[order] for x in (anchor, region, first, last, row))
     new = np.ones(len(order), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (region[1:] != region[:-1])
@@ -137,7 +148,7 @@ def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chu
         key = np.concatenate(keys)
         region = np.concatenate([unpacked(x) for x in table["regions"].to_pylist()])
         ids = np.concatenate([unpacked(x) for x in table["earliest"].to_pylist()])
-        order = np.lexsort((region, key))
+        order = pair_order(key, region)
         k, r, i = key[order], region[order], ids[order]
         new_key = np.append(True, k[1:] != k[:-1])
         new = np.append(True, new_key[1:] | (r[1:] != r[:-1]))
@@ -205,7 +216,7 @@ def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory:
     return dealt.select("shard", "place", "doc_id", "start", "z").mapInArrow(sort, "place long, found binary")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 24 << 20, range_bytes: int = 16 << 20, shard_bytes: int = 2 << 20, memory: int = 256 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 16 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 2 << 20, memory: int = 256 << 20) -> DataFrame:
     """Per input row: place (its number in the input), doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_text
     (string, without characters that were cut apart), spans.
 
