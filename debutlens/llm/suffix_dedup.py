@@ -216,7 +216,7 @@ def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory:
     return dealt.select("shard", "place", "doc_id", "start", "z").mapInArrow(sort, "place long, found binary")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 16 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 2 << 20, memory: int = 256 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 8 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 1 << 20, memory: int = 256 << 20) -> DataFrame:
     """Per input row: place (its number in the input), doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_text
     (string, without characters that were cut apart), spans.
 
