@@ -35,11 +35,12 @@ def fold_events(events: DataFrame) -> DataFrame:
     known = events.filter(F.col("kind").isin(*RESETS, "delta")).select("conv_id", "message", "seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
     of = Window.partitionBy("conv_id", "message")
     seen = known.withColumn("first_seq", F.min("seq").over(of)).withColumn("reset", F.max(F.when(F.col("kind").isin(*RESETS), F.col("seq"))).over(of))
+    seen = seen.withColumn("role", F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).over(of))
     live = seen.filter(F.col("reset").isNull() | (F.col("seq") >= F.col("reset")))
     parts = F.array_sort(F.collect_list(F.struct("seq", "text")))
     return live.groupBy("conv_id", "message").agg(
         F.min("first_seq").alias("first_seq"),
-        F.coalesce(F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))), F.lit("")).alias("role"),
+        F.coalesce(F.first("role"), F.lit("")).alias("role"),
         F.array_join(F.transform(parts, lambda x: x["text"]), "").alias("text"),
     )
 
