@@ -1,6 +1,7 @@
 """Hand-computed cases of the listing operators."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -155,6 +156,21 @@ def test_incremental_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_streamed_filings_are_stored_once(spark, tmp_path):
+    from debutlens.streaming.filings import store_filings, stream_filings
+
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    page = lambda *keys: json.dumps({"list": [{"rcept_no": k, "corp_name": "a", "report_nm": name, "rcept_dt": "20240102"} for k, name in keys]})
+    equity, other = "증권신고서(지분증권)", "사업보고서"
+    stored = []
+    for i, keys in enumerate([[("1", equity), ("1", equity), ("2", other)], [("1", equity), ("3", equity), (None, equity)]]):
+        (landed / f"{i}.json").write_text(page(*keys))
+        store_filings(stream_filings(spark, str(landed)), str(tmp_path / "table"), str(tmp_path / "state")).awaitTermination()
+        stored.append(sorted(r["rcept_no"] for r in spark.read.parquet(str(tmp_path / "table")).collect()))
+    assert stored == [["1"], ["1", "3"]]
+
+
 def test_consolidated_statements_win(spark):
     names = "corp_code string, year int, fs_div string, account_id string, thstrm_amount string"
     df = spark.createDataFrame([("a", 2024, "CFS", "ifrs-full_Revenue", "1,000"), ("a", 2024, "OFS", "ifrs-full_Revenue", "5"), ("b", 2024, "OFS", "ifrs-full_Equity", "7"), ("b", 2024, "OFS", "other", "8")], names)
