@@ -26,7 +26,10 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_close(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy(F.when(F.col("o_custkey") % 2 == 0, "KOSPI").otherwise("KOSDAQ").alias("index_code"), F.col("o_orderdate").cast("date").alias("date")).agg(F.round(F.avg("o_totalprice"), 4).alias("close"))
+    """Daily mean order price, half up to 4 places, in whole cents: sums of doubles would round ties by their order."""
+    index = F.when(F.col("o_custkey") % 2 == 0, "KOSPI").otherwise("KOSDAQ")
+    cents = table(spark, sf_dir, "orders").groupBy(index.alias("index_code"), F.col("o_orderdate").cast("date").alias("date")).agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("s"), F.count("o_totalprice").alias("n"))
+    return cents.select("index_code", "date", (F.expr("(200 * s + n) div (2 * n)") / 10000).alias("close"))
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +79,8 @@ p_listings AS (SELECT o_orderkey AS listing_id, c_custkey AS corp_code, c_name A
   CASE WHEN o_orderstatus <> 'P' THEN open_price END AS open_price,
   CASE WHEN o_orderstatus <> 'P' AND offering_price > 0 THEN (open_price / offering_price - 1) * 100 END AS ret
   FROM orders JOIN lines ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey),
-p_index AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'KOSPI' ELSE 'KOSDAQ' END AS index_code, o_orderdate::DATE AS date, round(avg(o_totalprice), 4) AS close FROM orders GROUP BY 1, 2),
+p_index AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'KOSPI' ELSE 'KOSDAQ' END AS index_code, o_orderdate::DATE AS date,
+  ((200 * sum(round(o_totalprice * 100)::BIGINT) + count(o_totalprice)) // (2 * count(o_totalprice)))::DOUBLE / 10000 AS close FROM orders GROUP BY 1, 2),
 p_mom AS (SELECT *, row_number() OVER w AS n, lag(close, 5) OVER w AS c5, lag(close, 20) OVER w AS c20, lag(close, 60) OVER w AS c60 FROM p_index WINDOW w AS (PARTITION BY index_code ORDER BY date)),
 p_momentum AS (SELECT index_code, date, close, coalesce(CASE WHEN n > 5 THEN round(close / c5 - 1, 6) END, 0.0) AS mom_5d,
   coalesce(CASE WHEN n > 20 THEN round(close / c20 - 1, 6) END, 0.0) AS mom_20d, coalesce(CASE WHEN n > 60 THEN round(close / c60 - 1, 6) END, 0.0) AS mom_60d FROM p_mom),

@@ -117,7 +117,7 @@ IMPUTED = ["institutional_demand_ratio", "lockup_weighted_score", "offering_pric
 
 @query(OFFER_SQL + """
 SELECT listing_id, round(least(3000, institutional_demand_ratio), 6) AS institutional_demand_ratio, round(least(1.0, sc), 6) AS lockup_weighted_score, round(pos, 6) AS offering_price_band_position,
-  round(coalesce(fl, (SELECT median(fl) FROM o)), 6) AS float_share_ratio, round(coalesce(sec, 0), 6) AS secondary_offering_ratio, 0.0 + 1.0 AS underwriter_tier FROM o
+  round(coalesce(fl, (SELECT median(fl) FROM o)), 6) AS float_share_ratio, round(coalesce(sec, 0), 6) AS secondary_offering_ratio, 1.0::DOUBLE AS underwriter_tier FROM o
 """)
 def imputed_features(spark, d):
     """Absent columns take 0 before the clip, so the tier's lower bound."""
