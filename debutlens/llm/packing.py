@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -27,6 +28,19 @@ REMEMBERED = 1 << 19
 PIECES = "doc_id long, piece int, start long, length int, ids binary, ids_crc32 long"
 
 
+class Words(dict):
+    """Ids of a space and the word, coded on first sight; words of 64 characters and more aren't remembered."""
+
+    def __init__(self, code: Callable[[str], bytes]):
+        self.code = code
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.code(" " + word)
+        if len(word) < 64:
+            self[word] = got
+        return got
+
+
 class ByteBpe:
     """Ids of a public byte-level BPE file, as little-endian unsigned 32-bit bytes.
 
@@ -47,26 +61,21 @@ class ByteBpe:
         ranks = {bytes(byte_of[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in self.special}
         self.coder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
         self.whole = re.compile(r"\s\s|" + "|".join(map(re.escape, self.special)))
-        self.known: dict[str, bytes] = {}
+        self.known = Words(self.plain)
 
-    def coded(self, text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.coder.encode(text, allowed_special="all"))
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without a special token's string."""
+        ids = self.coder.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if self.whole.search(text):
-            return self.coded(text)
+            ids = self.coder.encode(text, allowed_special="all")
+            return struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
         first, *words = text.split(" ")
-        known, out = self.known, [self.coded(first)]
-        if len(known) >= REMEMBERED:
-            known.clear()
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                got = self.coded(" " + w)
-                if len(w) < 64:
-                    known[w] = got
-            out.append(got)
-        return b"".join(out)
+        return self.plain(first) + b"".join(map(self.known.__getitem__, words))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
