@@ -25,6 +25,8 @@ CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other", "beyon
 N_CLASSES = len(CLASSES)
 #: Distinct words that a task counts before it passes its counts on.
 COUNTED = 1 << 19
+#: Counts in a batch that a task passes on.
+TOLD = 1 << 16
 
 
 def _class_of_byte() -> np.ndarray:
@@ -105,13 +107,14 @@ def language_references(docs: DataFrame, *, text_col: str = "text", lang_col: st
         words: dict[str, Counter] = {}
         classes: dict[str, np.ndarray] = {}
 
-        def told() -> pa.RecordBatch:
-            rows = [(lang, w, False, float(n)) for lang, c in words.items() for w, n in c.items()]
-            rows += [(lang, str(k).encode(), True, float(n)) for lang, c in classes.items() for k, n in enumerate(c)]
-            words.clear()
-            classes.clear()
-            lang, key, is_class, n = zip(*rows, strict=True) if rows else ((), (), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(key, pa.binary()), pa.array(is_class, pa.bool_()), pa.array(n, pa.float64())], names=["lang", "key", "is_class", "n"])
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang in list(words):
+                c, own = words.pop(lang), classes.pop(lang)
+                for keys, n, is_class in ((c.keys(), c.values(), False), ([str(k).encode() for k in range(N_CLASSES)], own, True)):
+                    size = len(keys)
+                    cols = [pa.repeat(lang, size), pa.array(keys, pa.binary(), size=size), pa.repeat(is_class, size), pa.array(np.fromiter(n, np.float64, size))]
+                    whole = pa.RecordBatch.from_arrays(cols, names=["lang", "key", "is_class", "n"])
+                    yield from (whole.slice(k, TOLD) for k in range(0, size, TOLD))
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("t").to_pylist(), strict=True):
@@ -119,8 +122,8 @@ def language_references(docs: DataFrame, *, text_col: str = "text", lang_col: st
                 of_byte = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
                 classes[lang] = classes.get(lang, 0) + class_counts(of_byte)
             if sum(map(len, words.values())) > COUNTED:
-                yield told()
-        yield told()
+                yield from told()
+        yield from told()
 
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     summed = texts.mapInArrow(count, "lang string, key binary, is_class boolean, n double").groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n"))
@@ -158,7 +161,9 @@ def judge_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
         for batch in batches:
             out = []
             langs, ref = batch.column("lang").to_pylist(), batch.column("ref")
-            for i, text in enumerate(batch.column("t").to_pylist()):
+            texts = batch.column("row").field(text_at).cast(pa.binary())
+            for i, value in enumerate(texts):
+                text = value.as_py() or b""
                 if (lang := langs[i]) not in known:
                     r = ref[i].as_py()
                     known[lang] = r and (np.array(r["classes"]), {w: k for k, w in enumerate(r["words"])}, np.array([*r["counts"], r["total"] - sum(r["counts"])]), r["total"])
@@ -179,7 +184,8 @@ def judge_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
             cols = zip(*out, strict=True) if out else [()] * len(fields)
             yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[f.name for f in schema])
 
-    texts = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    text_at = [c.lower() for c in docs.columns].index(text_col.lower())
+    texts = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
     joined = texts.join(small_side(refs.select("lang", F.struct("classes", "words", "counts", "total").alias("ref")), most=1000), "lang", "left")
     return joined.mapInArrow(judge, schema)
 
