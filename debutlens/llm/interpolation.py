@@ -32,30 +32,30 @@ class Words(dict):
         return code
 
 
-def events(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def events(texts: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]:
     """Token hashes and bigram hashes of the texts one after another, and each text's token count."""
     codes, sizes, flat = Words(), np.zeros(len(texts), np.int64), []
     for i, text in enumerate(texts):
-        words = (text or b"").lower().split()
+        words = (text.as_py() or b"").lower().split()
         flat.append(np.fromiter(map(codes.__getitem__, words), np.uint64, len(words)))
         flat.append(np.array([END]))
         sizes[i] = len(words) + 1
     tokens = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
-    before = np.roll(tokens, 1)
-    before[np.cumsum(sizes) - sizes] = START
-    pairs = (before * np.uint64(0xBF58476D1CE4E5B9)) ^ (tokens + np.uint64(0x94D049BB133111EB))
-    pairs = (pairs ^ (pairs >> np.uint64(31))) * np.uint64(0xFF51AFD7ED558CCD)
-    return tokens, pairs ^ (pairs >> np.uint64(33)), sizes
-
-
-def spread(tokens: np.ndarray, pairs: np.ndarray, sizes: np.ndarray, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For unigrams and bigrams: sorted distinct keys, each event's place among them, training counts."""
-    weight = np.repeat(train.astype(np.float64), sizes)
-    out = []
-    for keys in (tokens, pairs):
-        own, at = np.unique(keys, return_inverse=True)
-        out.append((own, at, np.bincount(at, weight, len(own)).astype(np.int64)))
-    return out
+    del flat, codes  # large, and no longer needed
+    pairs = np.roll(tokens, 1)
+    pairs[np.cumsum(sizes) - sizes] = START
+    pairs *= np.uint64(0xBF58476D1CE4E5B9)
+    pairs ^= tokens + np.uint64(0x94D049BB133111EB)
+    pairs ^= pairs >> np.uint64(31)
+    pairs *= np.uint64(0xFF51AFD7ED558CCD)
+    pairs ^= pairs >> np.uint64(33)
+    return [tokens, pairs], sizes
+
+
+def training_counts(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and how many of each are marked as training events."""
+    own, at = np.unique(keys, return_inverse=True)
+    return own, np.bincount(at[trained], minlength=len(own))
 
 
 def count_events(docs: DataFrame, *, id_col: str, text_col: str, train: F.Column, chunk_bytes: int, range_bytes: int) -> DataFrame:
@@ -67,9 +67,11 @@ def count_events(docs: DataFrame, *, id_col: str, text_col: str, train: F.Column
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"), train.alias("train"), chunk_of(n_chunks).alias("chunk"))
 
     def emit(table: pa.Table) -> pa.Table:
-        parts = spread(*events(table["t"].to_pylist()), table["train"].to_numpy())
+        streams, sizes = events(table["t"])
+        trained = np.repeat(table["train"].to_numpy(), sizes)
         rows = []
-        for kind, (keys, _, counts) in enumerate(parts):
+        for kind in range(2):
+            keys, counts = training_counts(streams.pop(0), trained)
             edges = range_edges(keys, bits)
             rows += [(table["chunk"][0].as_py(), kind, r, packed_keys(keys[a:b]), packed(narrow(counts[a:b]))) for r, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]  # noqa: B905
         cols = zip(*rows, strict=True)
@@ -87,12 +89,12 @@ def count_events(docs: DataFrame, *, id_col: str, text_col: str, train: F.Column
         return pa.Table.from_arrays([table["chunk"], table["kind"], table["range"], pa.array(told, pa.binary()), *(pa.array(x, pa.int64()) for x in more)], names=["chunk", "kind", "range", "told", "total_n", "total_v"])
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens, pairs, sizes = events(left["t"].to_pylist())
+        streams, sizes = events(left["t"])
         got = sorted(zip(right["kind"].to_pylist(), right["range"].to_pylist(), right["told"].to_pylist(), strict=True))
         parts = []
-        for kind, keys in enumerate((tokens, pairs)):
-            counts = np.concatenate([unpacked(x) for k, _, x in got if k == kind])
-            parts.append(counts[np.unique(keys, return_inverse=True)[1]])
+        for kind in range(2):
+            at = np.unique(streams.pop(0), return_inverse=True)[1]
+            parts.append(np.concatenate([unpacked(x) for k, _, x in got if k == kind])[at])
         edges = np.cumsum([0, *sizes])
         cut = [[packed(narrow(c[a:b])) for a, b in zip(edges, edges[1:])] for c in parts]  # noqa: B905
         totals = [sum(right[c].to_pylist()) for c in ("total_n", "total_v")]
