@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutlens.llm import decontamination, packing, quality, simhash, suffix_dedup
+from debutlens.llm import decontamination, packing, quality, similar, suffix_dedup
 from debutlens.llm.common import stored
 
 
@@ -15,8 +15,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest id."""
-    return simhash.one_of_each_group(docs)
+    """One document of each group of near duplicates (5-word similarity of 0.8 or more): the smallest id."""
+    return similar.one_of_each_group(docs)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

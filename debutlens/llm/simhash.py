@@ -24,17 +24,23 @@ SEGMENTS, SEGMENT_BITS = 4, 16
 SEED = 42
 
 
-def fingerprint(text: bytes, size: int = 3) -> int:
-    """64 bits over the shingles of `size` words, repeats included; 0 without words."""
+def shingle_codes(text: bytes, size: int) -> list[int]:
+    """Hashes of the shingles of `size` words, repeats included; of all words if they are no more; empty without words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     if len(words) <= size:
-        codes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        digest, joined = xxhash.xxh64_intdigest, b" ".join(words)
-        at = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
-        codes = [digest(joined[a : b - 1], SEED) for a, b in zip(at, at[size:])]  # noqa: B905
+        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
+    digest, joined = xxhash.xxh64_intdigest, b" ".join(words)
+    at = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+    return [digest(joined[a : b - 1], SEED) for a, b in zip(at, at[size:])]  # noqa: B905
+
+
+def fingerprint(text: bytes, size: int = 3) -> int:
+    """64 bits over the shingles of `size` words, repeats included; 0 without words."""
+    codes = shingle_codes(text, size)
+    if not codes:
+        return 0
     bits = np.zeros(64, np.int64)
     codes = np.array(codes, np.uint64).view(np.uint8).reshape(-1, 8)
     for i in range(0, len(codes), 8192):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
-from debutlens.llm import chat, counting, decontamination, induced, interpolation, packing, quality, sharding, simhash, suffix_dedup, warc
+from debutlens.llm import chat, counting, decontamination, induced, interpolation, packing, quality, sharding, simhash, similar, suffix_dedup, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, place long, chunk int, shard int, fp long, items string"
 
@@ -166,6 +166,45 @@ def test_components_of_a_long_chain(spark):
     assert simhash.components(links).agg(F.count(F.lit(1)), F.max("root")).first() == (199, 1)
 
 
+def edited(rng, text, n):
+    own = text.split()
+    for i in rng.sample(range(len(own)), n):
+        own[i] = words(rng, 1) + "x"
+    return " ".join(own)
+
+
+def groups_by_similarity(rows, size=5, similarity=0.8):
+    """Ids that stay, by comparing all pairs."""
+    held = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        held.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    label = list(range(len(rows)))
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if held[i] == held[j] or 5 * len(held[i] & held[j]) >= 4 * len(held[i] | held[j]) > 0]
+    for _ in rows:
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    order = lambda i: (rows[i][0] is None, rows[i][0] or 0, i)
+    return sorted((rows[min((i for i in label_of if label[i] == g), key=order)][0] or -1) for label_of in [range(len(rows))] for g in set(label))
+
+
+@pytest.mark.parametrize("most", [1000, 2])
+def test_near_copies_equal_brute_force(spark, rows, most):
+    rng = random.Random(11)
+    own = [(i, t) for i, t, _ in rows] + [(70, "a b c d e f g h i"), (71, "a b c d e f g h"), (72, "a a a a a a"), (73, "a a a a a a a")]
+    for i in range(12):
+        first = words(rng, rng.choice([60, 150, 400]))
+        own += [(100 + 10 * i, first)] + [(100 + 10 * i + k, edited(rng, first, max(1, len(first.split()) * k // 150))) for k in range(1, 5)]
+    crowd = words(rng, 200)
+    own += [(300 + i, edited(rng, crowd, 1 + i % 7)) for i in range(40)]
+    docs = spark.createDataFrame(own, "doc_id long, text string")
+    got = sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in similar.one_of_each_group(docs, most=most, chunk_bytes=4000, range_bytes=2000).collect())
+    assert got == groups_by_similarity(own)
+    assert similar.one_of_each_group(docs.limit(0)).count() == 0
+    # such copies lie further apart than fingerprints tell
+    assert len(got) < simhash.one_of_each_group(docs).count()
+
+
 @pytest.mark.parametrize("byte_fallback", [True, False])
 def test_counts_equal_the_tokenizer(spark, rows, byte_fallback):
     vocabulary, unknown = counting.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
