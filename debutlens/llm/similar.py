@@ -4,7 +4,7 @@ Two sets of that similarity share one of their first n - c + 1 shingles in any c
 overlap that n shingles need. The order is rarest first, so the shared first ones are few. Shingles are counted
 over the corpus by 40 bits of their hash; a shingle of one document only is never a key. Neighbours at a key are
 compared first and their components told; then each pair at a key whose components still differ. A key with too
-many documents is split by its next common shingle, of which the first n - c + 2 hold one, and so on.
+many such pairs is split by its next common shingle, of which the first n - c + 2 hold one, and so on.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ from .simhash import components, shingle_codes
 COUNTED = np.uint64((1 << 64) - (1 << 24))
 #: The shingles that a split key may have. Sets of fewer shingles are at 0.8 similar only to equal ones.
 DEEPEST = 3
+#: Rounds in which only neighbours at a key are compared.
+ROUNDS = 2
+#: Bits of a set's signature.
+SIGNATURE = 1024
 #: Keeps the rounding of a product from moving a bound.
 EXACT = 1e-9
 
@@ -39,6 +43,12 @@ def needed(n: int, similarity: float) -> int:
     return math.ceil(similarity * n - EXACT)
 
 
+def signature(own: np.ndarray) -> np.ndarray:
+    """How often each residue occurs, modulo 2: two sets differ in at least as many elements as their bits differ."""
+    odd = np.bincount((own % np.uint64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def digests(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """place, id and the digest of each row's set."""
 
@@ -52,7 +62,7 @@ def digests(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame
 
 
 def leads(texts: DataFrame, *, size: int, similarity: float, chunk_bytes: int, range_bytes: int) -> DataFrame:
-    """Of each text (node, t): node, n, codes and their places at, for its first shingles that another text may hold."""
+    """Of each text (node, t): node, n, its signature, codes and their places at, for its first shingles that another text may hold."""
     n_chunks, bits = plan(texts, "t", chunk_bytes, range_bytes)
     dealt = texts.select("node", F.pmod(F.xxhash64("node"), F.lit(n_chunks)).cast("int").alias("chunk"), "t")
 
@@ -89,13 +99,13 @@ def leads(texts: DataFrame, *, size: int, similarity: float, chunk_bytes: int, r
             order = np.lexsort((own, held))[: len(own) - needed(len(own), similarity) + DEEPEST]
             at = np.flatnonzero(held[order] > 1)
             if len(at):
-                rows.append((node, len(own), own[order[at]].view(np.int64), at.astype(np.int32)))
-        cols = list(zip(*rows, strict=True)) or [()] * 4
-        types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["node", "n", "codes", "at"])
+                rows.append((node, len(own), signature(own), own[order[at]].view(np.int64), at.astype(np.int32)))
+        cols = list(zip(*rows, strict=True)) or [()] * 5
+        types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["node", "n", "signature", "codes", "at"])
 
     told = dealt.groupBy("chunk").applyInArrow(emit, "chunk int, range int, keys binary, counts binary").groupBy("range").applyInArrow(meet, "chunk int, range int, counts binary")
-    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, "node long, n int, codes array<long>, at array<int>")
+    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, "node long, n int, signature array<long>, codes array<long>, at array<int>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -124,26 +134,45 @@ def similar_groups(texts: DataFrame, *, size: int, similarity: float, most: int,
     spare = (F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - EXACT)).cast("int")
     exploded = lead.select("node", "n", spare.alias("spare"), F.explode(F.arrays_zip("at", "codes")).alias("x")).select("node", "n", "spare", "x.at", F.col("x.codes").alias("code"))
     keyed = exploded.filter("at <= spare").select(F.col("code").alias("key"), "node", "n", "at")
-    beside = Window.partitionBy("key").orderBy("n", "node")
-    fits = F.col("n0") >= F.lit(similarity) * F.col("n") - EXACT
-    chain = keyed.withColumn("n0", F.lag("n").over(beside)).withColumn("node0", F.lag("node").over(beside)).filter(fits)
-    near = stored(verified(chain.select(F.least("node", "node0").alias("a"), F.greatest("node", "node0").alias("b")), texts, size, similarity), "near")
-    roots = components(near)
-    keyed = stored(keyed.join(roots, "node", "left").select("key", "node", "n", "at", F.coalesce("root", "node").alias("root")), "keyed")
+    fits = (F.least("n", "n0") >= F.lit(similarity) * F.greatest("n", "n0") - EXACT) & F.col("n0").isNotNull()
+    # sets of the bound differ in (n + n0)(1 - s) / (1 + s) shingles; their signatures tell most others without the texts
+    differ = F.aggregate(F.zip_with("s", "s0", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    close = differ <= (F.col("n") + F.col("n0")) * F.lit((1 - similarity) / (1 + similarity)) + EXACT
+    signed = lead.select("node", F.col("signature").alias("s"))
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+    def contested(members: DataFrame) -> DataFrame:
+        """Members of keys whose components differ: big (the most frequent one there) and full (too many pairs of others)."""
+        each = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+        of_key = each.groupBy("key").agg(F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("big")).filter("m > big.m")
+        told = of_key.select("key", F.col("big.root").alias("big"), ((F.col("m") - F.col("big.m")) * F.col("m") > most * most).alias("full"))
+        return stored(members.join(told, "key"), "keyed")
+
+    near, roots, live = None, None, stored(keyed, "keyed")
+    for order in range(ROUNDS):
+        # neighbours by size first; then, where a key is still full, by an order of its own, so that each key gives other ones
+        beside = Window.partitionBy("key").orderBy(*([F.xxhash64("key", "node", F.lit(order))] if order else []), "n", "node")
+        chain = live.withColumn("n0", F.lag("n").over(beside)).withColumn("node0", F.lag("node").over(beside)).filter(fits)
+        fresh = verified(chain.select(*ordered("node", "node0")), texts, size, similarity)
+        near = stored(fresh if near is None else near.union(fresh), "near")
+        roots = components(near)
+        met = contested(keyed.join(roots, "node", "left").select("key", "node", "n", "at", F.coalesce("root", "node").alias("root")))
+        live = met.filter("full").select("key", "node", "n", "at")
+        if live.isEmpty():
+            break
     found = None
     for level in range(1, DEEPEST + 1):
-        met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("key", (F.col("m") > most).alias("full"))
-        keyed = stored(keyed.join(met, "key"), "keyed")
-        ready = keyed if level == DEEPEST else keyed.filter("not full")
-        a, b = ready.select("key", F.col("node").alias("a"), F.col("n").alias("n0"), F.col("root").alias("r0")), ready.select("key", F.col("node").alias("b"), "n", F.col("root").alias("r1"))
-        apart = F.col("r0") < F.col("r1")
-        pairs = a.join(b, "key").filter(apart & fits & (F.col("n") >= F.lit(similarity) * F.col("n0") - EXACT)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        # of each pair of two components, one at least is not the big one
+        ready = (met if level == DEEPEST else met.filter("not full")).join(signed, "node")
+        one = ready.filter("root <> big").select("key", F.col("node").alias("a"), F.col("n").alias("n0"), F.col("s").alias("s0"), F.col("root").alias("r0"))
+        pairs = one.join(ready.select("key", F.col("node").alias("b"), "n", "s", F.col("root").alias("r1")), "key").filter((F.col("r0") != F.col("r1")) & fits & close)
+        pairs = pairs.select(*ordered("a", "b"))
         found = pairs if found is None else found.union(pairs)
-        full = keyed.filter("full").select("key", "node", "n", F.col("at").alias("at0"), "root")
+        full = met.filter("full").select("key", "node", "n", F.col("at").alias("at0"), "root")
         if level == DEEPEST or full.isEmpty():
             break
         further = exploded.select("node", "spare", "at", "code")
-        keyed = stored(full.join(further, "node").filter((F.col("at") > F.col("at0")) & (F.col("at") <= F.col("spare") + level)).select(F.xxhash64("key", "code").alias("key"), "node", "n", "at", "root"), "keyed")
+        met = contested(full.join(further, "node").filter((F.col("at") > F.col("at0")) & (F.col("at") <= F.col("spare") + level)).select(F.xxhash64("key", "code").alias("key"), "node", "n", "at", "root"))
     return components(near.union(verified(found, texts, size, similarity)))
 
 
