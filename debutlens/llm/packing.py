@@ -1,10 +1,11 @@
 """Best-fit packing of token sequences, bulk-synchronously.
 
-Pieces and gaps are sorted by size, and since sizes are whole numbers up to the capacity, each size is one
-class of any number of members. A round takes the largest pieces left: a successor sweep matches them with the
-smallest gaps that hold them, conflicts are resolved by rank (the k-th piece of a class takes the k-th gap of
-its match), gaps are updated, and the next round begins. The sweep sees only the two histograms, at most
-`capacity` classes each; ranks are counted and pieces placed by distributed windows and joins.
+Pieces are dealt evenly to slices, and a slice runs rounds on its own task. Its pieces and gaps lie sorted by size,
+and since sizes are whole numbers up to the capacity, each size is one class of any number of members. In a round
+every class of pieces seeks its successor, the smallest gap that holds it, in one sweep over both; where several
+seek one class of gaps, the larger go first and the k-th piece takes the k-th gap; gaps are updated, pieces without
+a successor open as many sequences as their tokens need, and the rest tries again. A task sees only its slice's two
+histograms, `capacity` classes at most; pieces are ranked and placed by distributed windows and joins.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ import json
 import re
 import struct
 import zlib
-from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import stored
 
 #: Words whose ids a task remembers; the memory is emptied when full, which changes no result.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
+#: Pieces of a slice; a slice leaves at most a few sequences unfilled.
+SLICE_PIECES = 1 << 16
 PIECES = "doc_id long, piece int, start long, length int, ids binary, ids_crc32 long"
 
 
@@ -78,6 +82,12 @@ class ByteBpe:
         return self.plain(first) + b"".join(map(self.known.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def coder_of(path: str) -> ByteBpe:
+    """The coder of a file, kept with its words for a worker's later tasks."""
+    return ByteBpe(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids (binary, little-endian unsigned 32 bits), ids_crc32.
 
@@ -86,7 +96,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBpe(tokenizer_path)
+        coder = coder_of(tokenizer_path)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             rows = []
@@ -104,68 +114,68 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024,
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).mapInArrow(run, PIECES)
 
 
-def best_fit_rounds(sizes: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
-    """Places classes {size: pieces}: (size, first rank, first sequence, offset) by rank, and the sequences opened.
+def best_fit_rounds(sizes: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
+    """Places classes {size: pieces}: (size, first rank, first sequence, offset), by size and rank.
 
     Pieces of a size from that rank on take the sequences from there on, one each, up to the next entry's rank.
     """
-    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap: runs of sequences (first, how many)
-    ordered: list[int] = []
+    left = np.array(sorted(sizes.items(), reverse=True), np.int64).reshape(-1, 2)
+    rank = np.zeros(len(left), np.int64)
+    gaps: dict[int, list[tuple[int, int]]] = {}  # gap: runs of sequences (first, how many)
     placed, opened = [], 0
-
-    def leave(gap: int, run: tuple[int, int]) -> None:
-        if gap:
-            if not gaps[gap]:
-                insort(ordered, gap)
-            gaps[gap].append(run)
-
-    for size in sorted(sizes, reverse=True):
-        rank, left = 0, sizes[size]
-        while left:
-            k = bisect_left(ordered, size)  # the successor: the smallest gap that holds it
-            if k == len(ordered):
-                each = capacity // size
-                n = -(-left // each)
-                leave(capacity, (opened, n))
-                opened += n
-                continue
-            gap = ordered[k]
-            first, n = gaps[gap].pop()
-            if not gaps[gap]:
-                ordered.pop(k)
-            take = min(n, left)
-            placed.append((size, rank, first, capacity - gap))
-            if take < n:
-                leave(gap, (first + take, n - take))
-            leave(gap - size, (first, take))
-            rank, left = rank + take, left - take
-    return placed, opened
-
-
-def pack(pieces: DataFrame, *, capacity: int = 1024) -> DataFrame:
+    while len(left):
+        known = np.array(sorted(gaps), np.int64)
+        successor = np.searchsorted(known, left[:, 0])  # the sweep; pieces lie by falling size, so larger ones go first
+        made: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        stuck = successor == len(known)
+        need = max(int(left[stuck & (left[:, 0] > capacity // 2), 1].sum()), -(-int((left[stuck, 0] * left[stuck, 1]).sum()) // capacity))
+        if need:  # the gaps of new sequences hold all; the largest of the stuck take them
+            gaps[capacity], known, opened = [(opened, need)], np.append(known, capacity), opened + need
+        for k in range(len(left)):
+            size, gap = int(left[k, 0]), int(known[successor[k]]) if successor[k] < len(known) else 0
+            runs = gaps.get(gap)
+            while left[k, 1] and runs:
+                first, n = runs.pop()
+                take = min(n, int(left[k, 1]))
+                placed.append((size, int(rank[k]), first, capacity - gap))
+                if take < n:
+                    runs.append((first + take, n - take))
+                if gap > size:
+                    made[gap - size].append((first, take))
+                rank[k] += take
+                left[k, 1] -= take
+        for gap, runs in made.items():
+            gaps[gap] = gaps.get(gap, []) + runs
+        gaps = {gap: runs for gap, runs in gaps.items() if runs}
+        live = left[:, 1] > 0
+        left, rank = left[live], rank[live]
+    return sorted(placed)
+
+
+def pack(pieces: DataFrame, *, capacity: int = 1024, slice_pieces: int = SLICE_PIECES) -> DataFrame:
     """Adds sequence_id long and offset long to rows with an int `length` of 1 to `capacity`.
 
     Sequences hold at most `capacity`, their pieces lie gapless from 0; an empty table gives no rows. `pieces`
-    must be a stored table: its rows are ranked in their order of storage, by size and slice, never size alone.
+    must be a stored table with a row_key: its rows are ranked by size and slice, never by size alone. Sequences
+    are numbered within slices, the slice in the upper bits.
     """
-    spark = pieces.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = pieces.withColumn("slice", F.pmod(F.xxhash64("row_key"), F.lit(slices)))
-    counts = rows.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("length", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), "n")
-    sizes = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
-    placed, _ = best_fit_rounds(sizes, capacity)
-    runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-    for size, rank, first, offset in placed:
-        runs[size].append((rank, first, offset))
-    table = spark.createDataFrame(list(runs.items()), "length int, runs array<struct<rank: long, first: long, offset: long>>")
-    ranked = rows.withColumn("own", F.row_number().over(Window.partitionBy("length", "slice").orderBy("row_key")).cast("long") - 1)
-    ranked = ranked.join(F.broadcast(bases.drop("n")) if len(sizes) * slices <= 200_000 else bases.drop("n"), ["length", "slice"])
-    ranked = ranked.withColumn("rank", F.col("own") + F.col("base")).join(F.broadcast(table), "length")
+    slices = max(1, -(-pieces.count() // slice_pieces))
+    rows = pieces.withColumn("slice", F.pmod(F.xxhash64("row_key"), F.lit(slices)).cast("int"))
+    counts = rows.groupBy("slice", "length").agg(F.count(F.lit(1)).alias("n"))
+
+    def fit(table: pa.Table) -> pa.Table:
+        runs: dict[int, list[dict]] = defaultdict(list)
+        for size, rank, first, offset in best_fit_rounds(dict(zip(table["length"].to_pylist(), table["n"].to_pylist(), strict=True)), capacity):
+            runs[size].append({"rank": rank, "first": first, "offset": offset})
+        own = pa.array(list(runs.values()), pa.list_(pa.struct([("rank", pa.int64()), ("first", pa.int64()), ("offset", pa.int64())])))
+        return pa.Table.from_arrays([pa.repeat(table["slice"][0], len(runs)), pa.array(list(runs), pa.int32()), own], names=["slice", "length", "runs"])
+
+    runs = stored(counts.groupBy("slice").applyInArrow(fit, "slice int, length int, runs array<struct<rank: long, first: long, offset: long>>"), "runs")
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("slice", "length").orderBy("row_key")).cast("long") - 1)
     run = F.element_at(F.filter("runs", lambda r: r["rank"] <= F.col("rank")), -1)
-    at = ranked.withColumn("run", run)
-    return at.withColumn("sequence_id", F.col("run.first") + F.col("rank") - F.col("run.rank")).withColumn("offset", F.col("run.offset")).drop("slice", "own", "base", "rank", "runs", "run")
+    at = ranked.join(runs, ["slice", "length"]).withColumn("run", run)
+    sequence = F.shiftleft(F.col("slice").cast("long"), 40) + F.col("run.first") + F.col("rank") - F.col("run.rank")
+    return at.withColumn("sequence_id", sequence).withColumn("offset", F.col("run.offset")).select(*pieces.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
