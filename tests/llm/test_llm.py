@@ -56,21 +56,56 @@ def test_decontamination_equals_brute_force(spark, rows):
         assert (r["n_words"], r["n"], r["i"] or []) == (len(own), len(hit), sorted(names))
 
 
-def test_packing(spark, rows):
+def test_coder_equals_the_tokenizer():
     path = public_tokenizers.path("byte_bpe_50k.json")
-    plain = Tokenizer.from_file(path)
-    coder = packing.ByteBpe(path)
-    for t in ["a  b", "a   b \n c", "\n\n x", " lead", "tail ", "<|endoftext|> a b", "it's we'll 12", "", "é  b", "x \x1cy"]:
+    plain, coder = Tokenizer.from_file(path), packing.ByteBpe(path)
+    rng = random.Random(4)
+    texts = ["a  b", "a   b \n c", "\n\n x", " lead", "tail ", "<|endoftext|> a b", "it's we'll 12", "", "é  b", "x \x1cy", "한 국", "\U0001f600 a"]
+    texts += ["".join(rng.choices("ab é한\n\t .,'1|<>", k=rng.randint(0, 60))) for _ in range(2000)]
+    texts += ["".join(chr(c) for c in range(a, a + 64)) for a in [*range(0, 0xD800, 64), *range(0xE000, 0x11000, 64)]]
+    for t in texts:
         assert np.frombuffer(coder.ids(t), np.uint32).tolist() == plain.encode(t, add_special_tokens=False).ids
-    out = packing.pack_documents(frame(spark, rows), path, capacity=64).toPandas()
+
+
+@pytest.mark.parametrize("slice_pieces", [1 << 16, 20])
+def test_packing_equals_brute_force(spark, rows, slice_pieces, tmp_path):
+    """Pieces of the query's shape by the tokenizer itself, and their places by the law of a sequence."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    want = Counter()
+    for i, t, _ in rows:
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 2]
+        cuts = [0, *range(len(ids) % 64 or 64, len(ids) + 1, 64)]
+        want.update((i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:])))  # noqa: B905
+    pieces = packing.token_pieces(frame(spark, rows), path, capacity=64).withColumn("row_key", F.monotonically_increasing_id())
+    pieces.write.parquet(f"{tmp_path}/pieces")
+    packed = packing.pack(spark.read.parquet(f"{tmp_path}/pieces"), capacity=64, slice_pieces=slice_pieces)
+    assert Counter(map(tuple, packed.select("doc_id", "piece", "start", "length", "ids_crc32").collect())) == want
+    out = packed.toPandas()
     for _, own in out.groupby("sequence_id"):
         own = own.sort_values("offset")
         assert own.length.sum() <= 64 and (own.length.cumsum() - own.length == own.offset).all()
-    assert out.length.sum() == sum(len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in rows)
-    assert out.sequence_id.nunique() <= math.ceil(out.length.sum() / 64) + 2
+    slices = math.ceil(len(out) / slice_pieces)
+    assert out.sequence_id.nunique() <= math.ceil(out.length.sum() / 64) + 2 * slices
     assert packing.pack_documents(frame(spark, rows).limit(0), path).count() == 0
 
 
+def test_rounds_place_every_piece_once():
+    rng = random.Random(3)
+    for _ in range(200):
+        capacity = rng.choice([1, 5, 64])
+        sizes = Counter(rng.randint(1, capacity) for _ in range(rng.randint(0, 300)))
+        spots, runs = {}, packing.best_fit_rounds(sizes, capacity)
+        for k, (size, rank, first, offset) in enumerate(runs):
+            end = runs[k + 1][1] if k + 1 < len(runs) and runs[k + 1][0] == size else sizes[size]
+            for i in range(end - rank):
+                spots.setdefault(first + i, []).append((offset, size))
+        assert Counter(size for own in spots.values() for _, size in own) == sizes
+        for own in spots.values():
+            assert all(a + n == b for (a, n), (b, _) in zip(sorted(own), sorted(own)[1:])) and sum(n for _, n in own) <= capacity  # noqa: B905
+        assert len(spots) <= math.ceil(sum(s * n for s, n in sizes.items()) / max(1, capacity)) * 1.25 + 2
+
+
 def test_induced_sorting_equals_brute_force():
     rng = random.Random(1)
     for _ in range(60):
@@ -147,20 +182,65 @@ def test_quality_measures(spark, rows):
     assert quality.js_distance(np.array([1.0, 0]), np.array([0, 2.0])) == 1.0
 
 
-def test_simhash_equals_brute_force(spark, rows):
-    got = simhash.near_duplicates(frame(spark, rows)).select("row.doc_id", "row.text", "fp", "component_id").collect()
-    assert len(got) == len(rows)
-    fp = np.array([r["fp"] for r in got], np.int64).view(np.uint64)
-    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 2
-    label = np.array([r["doc_id"] if r["doc_id"] is not None else 1 << 40 for r in got])
+def groups_by_fingerprint(fps, ids, distance):
+    """The smallest id that each row reaches, by comparing all pairs."""
+    fp = np.array(fps, np.int64).view(np.uint64)
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= distance
+    label = np.arange(len(fp))
     while not np.array_equal(label, new := np.array([label[n].min() for n in near])):
         label = new
-    assert [r["component_id"] for r in got if r["doc_id"] is not None] == [x for x, r in zip(label, got, strict=True) if r["doc_id"] is not None]
+    return [min((i for i, x in zip(ids, label, strict=True) if x == own and i is not None), default=None) for own in label]
+
+
+def test_simhash_equals_brute_force(spark, rows):
+    import xxhash
+
+    got = simhash.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    text = {i: t for i, t, _ in rows}
+    for r in got:
+        w = (text[r["id"]] or "").encode().lower().split()
+        codes = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 3]), 42) for i in range(max(1, len(w) - 2))] if w else []
+        bits = sum(1 << k for k in range(64) if 2 * sum(c >> k & 1 for c in codes) > len(codes))
+        assert r["fp"] % (1 << 64) == bits
+    assert [r["component_id"] for r in got] == groups_by_fingerprint([r["fp"] for r in got], [r["id"] for r in got], 2)
     kept = simhash.one_of_each_group(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns and kept.filter("doc_id = 5").count() == 0 and kept.filter("doc_id = 4").count() == 1
     assert simhash.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("distance", "segments", "bucket"), [(2, 2, 32), (2, 2, 1), (2, 4, 2), (4, 4, 3), (4, 2, 1)])
+def test_index_finds_all_neighbours(spark, distance, segments, bucket):
+    rng = random.Random(distance + segments)
+    fps = {0, -1, 1 << 62, -(1 << 63)}
+    for _ in range(60 if distance == 2 else 25):
+        own = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 6)):
+            for b in rng.sample(range(64), rng.randint(0, 4)):
+                own ^= 1 << b
+            fps.add(own - (1 << 64) if own >> 63 else own)
+    links = simhash.neighbour_links(spark.createDataFrame([(x,) for x in fps], "fp long"), max_distance=distance, segments=segments, bucket=bucket)
+    assert links.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > distance).isEmpty()
+    root = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+    order = sorted(fps)
+    assert [root.get(x, x) for x in order] == groups_by_fingerprint(order, order, distance)
+
+
+def test_a_null_id_links_others(spark, monkeypatch):
+    """Fingerprints 0, 3 and 15: the row between has no id."""
+    rows = spark.createDataFrame([(0, "a", 0), (1, None, 3), (2, "c", 15)], "place long, id string, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, **_: rows)
+    assert [r["component_id"] for r in simhash.near_duplicates(rows).collect()] == ["a"] * 3
+
+
+def test_long_texts_are_read_in_blocks(monkeypatch):
+    rng = random.Random(9)
+    text = ("  \n".join(words(rng, rng.randint(1, 40)) for _ in range(30)) + " \t").encode()
+    whole = simhash.shingle_codes(text, 5).tolist()
+    monkeypatch.setattr(simhash, "HELD", 7)
+    assert simhash.shingle_codes(text, 5).tolist() == whole and len(simhash.shingle_codes(b"a b", 5)) == 1 and len(simhash.shingle_codes(b" \n ", 5)) == 0
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert simhash.components(links).agg(F.count(F.lit(1)), F.max("root")).first() == (199, 1)
