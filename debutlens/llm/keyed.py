@@ -54,6 +54,11 @@ def plan(docs: DataFrame, text_col: str, chunk_bytes: int, range_bytes: int) ->
     return max(1, math.ceil(size / chunk_bytes)), max(1, math.ceil(math.log2(max(2, size / range_bytes))))
 
 
+def spread(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Deals `df` by a key of `n` values to as many tasks at least, so that no task gets more of them as the input grows."""
+    return df.repartition(max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def chunk_of(n_chunks: int) -> Column:
     """Spreads rows over chunks by their place in the input, so that no repeated key gathers."""
     return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_chunks)).cast("int")

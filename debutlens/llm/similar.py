@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_side, stored
-from .keyed import chunk_of, narrow, packed, packed_keys, plan, range_edges, unpacked, unpacked_keys
+from .keyed import narrow, packed, packed_keys, plan, range_edges, spread, unpacked, unpacked_keys
 from .simhash import components, fingerprint, neighbour_links, shingle_codes
 
 #: Bits of a hash by which it is counted.
@@ -81,7 +81,7 @@ def fingerprint_pairs(sets: DataFrame) -> DataFrame:
 def leads(texts: DataFrame, *, size: int, similarity: float, chunk_bytes: int, range_bytes: int) -> DataFrame:
     """Of each text (node, t): node, n, its signature, codes and their places at, for its first shingles that another text may hold."""
     n_chunks, bits = plan(texts, "t", chunk_bytes, range_bytes)
-    dealt = texts.select("node", F.pmod(F.xxhash64("node"), F.lit(n_chunks)).cast("int").alias("chunk"), "t")
+    dealt = spread(texts.select("node", F.pmod(F.xxhash64("node"), F.lit(n_chunks)).cast("int").alias("chunk"), "t"), "chunk", n_chunks)
 
     def read(table: pa.Table) -> tuple[list[np.ndarray], pa.Table]:
         table = table.sort_by("node")
@@ -121,8 +121,9 @@ def leads(texts: DataFrame, *, size: int, similarity: float, chunk_bytes: int, r
         types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["node", "n", "signature", "codes", "at"])
 
-    told = dealt.groupBy("chunk").applyInArrow(emit, "chunk int, range int, keys binary, counts binary").groupBy("range").applyInArrow(meet, "chunk int, range int, counts binary")
-    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, "node long, n int, signature array<long>, codes array<long>, at array<int>")
+    sent = dealt.groupBy("chunk").applyInArrow(emit, "chunk int, range int, keys binary, counts binary")
+    told = spread(sent, "range", 1 << bits).groupBy("range").applyInArrow(meet, "chunk int, range int, counts binary")
+    return dealt.groupBy("chunk").cogroup(spread(told, "chunk", n_chunks).groupBy("chunk")).applyInArrow(answer, "node long, n int, signature array<long>, codes array<long>, at array<int>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:

@@ -5,7 +5,9 @@ alike; so documents are cut into regions, one per anchor, that hold every 50-byt
 all occurrences of a string meet at one key. A region that also lies whole in an earlier document is removed
 outright. Where one anchor has different regions, the earliest document's copy of each goes to a shard of the
 anchors' range, and the shard's suffixes are sorted by external induced sorting; neighbours in suffix order
-with a common prefix of 50 bytes are one string.
+with a common prefix of 50 bytes are one string. An anchor of too many different regions, such as a line that
+stands in many documents between changing neighbours, is split: its 50-byte strings are keys of their own, grouped
+whole, so that none of its fragments have to meet in one task.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .induced import repeated_windows
-from .keyed import chunk_of, narrow, packed, packed_keys, plan, range_edges, unpacked, unpacked_keys
+from .keyed import chunk_of, narrow, packed, packed_keys, plan, range_edges, spread, unpacked, unpacked_keys
 
 GRAM = 24
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -112,9 +114,9 @@ def spans_of(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], ends[np.append(new[1:], True)]], 1).astype(np.int64)
 
 
-def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chunk_bytes: int, range_bytes: int) -> DataFrame:
+def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chunk_bytes: int, range_bytes: int, most: int) -> DataFrame:
     """Rows of two kinds: documents (place long, doc_id, z: compressed text, spans: removed outright) and fragments
-    (place, doc_id, anchor, start, z: the bytes of a contested region)."""
+    (place, doc_id, anchor, start, z: the bytes of a contested region, hot: its anchor has over `most` regions)."""
     n_chunks, bits = plan(docs, text_col, chunk_bytes, range_bytes)
     schema = "place long, doc_id long, chunk int, z binary"
 
@@ -124,7 +126,7 @@ def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chu
             yield pa.RecordBatch.from_arrays([b.column("place"), b.column("doc_id"), b.column("chunk"), pa.array([packer.compress(t) for t in b.column("t").to_pylist()], pa.binary())], names=["place", "doc_id", "chunk", "z"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).cast("long").alias("doc_id"), chunk_of(n_chunks).alias("chunk"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    texts = numbered.mapInArrow(squeeze, schema)
+    texts = spread(numbered.mapInArrow(squeeze, schema), "chunk", n_chunks)
 
     def read(table: pa.Table) -> tuple[list[bytes], np.ndarray, pa.Table]:
         table = table.sort_by("place")
@@ -154,10 +156,10 @@ def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chu
         new = np.append(True, new_key[1:] | (r[1:] != r[:-1]))
         first = np.minimum.reduceat(i, np.flatnonzero(new))[np.cumsum(new) - 1]
         of_key, at_key = np.cumsum(new_key) - 1, np.flatnonzero(new_key)
-        several = np.add.reduceat(new.astype(np.int64), at_key)[of_key] > 1
+        several = np.add.reduceat(new.astype(np.int64), at_key)[of_key]
         across = (np.maximum.reduceat(i, at_key) != np.minimum.reduceat(i, at_key))[of_key]
         told, contested = np.zeros(len(order), np.int64), np.zeros(len(order), np.uint8)
-        told[order], contested[order] = i - first, several & across
+        told[order], contested[order] = i - first, across * np.where(several > most, 2, several > 1)
         cut = lambda x: [packed(narrow(x[a:b])) for a, b in zip(edges, edges[1:])]  # noqa: B905, E731
         return pa.Table.from_arrays([table["chunk"], table["range"], pa.array(cut(told), pa.binary()), pa.array(cut(contested), pa.binary())], names=["chunk", "range", "told", "contested"])
 
@@ -166,25 +168,35 @@ def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chu
         anchor, _, first, last, row, distinct, _, earliest = region_table(texts, ids, size)
         got = sorted(zip(right["range"].to_pylist(), right["told"].to_pylist(), right["contested"].to_pylist(), strict=True))
         told = np.concatenate([unpacked(x).astype(np.int64) for _, x, _ in got]) if got else np.zeros(0, np.int64)
-        contested = np.concatenate([unpacked(x) for _, _, x in got]).astype(bool) if got else np.zeros(0, bool)
+        contested = np.concatenate([unpacked(x) for _, _, x in got]) if got else np.zeros(0, np.uint8)
         gone = ids[row] > (earliest - told)[distinct]
-        ask = np.flatnonzero(~gone & contested[distinct])
+        ask = np.flatnonzero(~gone & (contested[distinct] > 0))
         at = np.flatnonzero(gone)
         at = at[np.argsort(row[at], kind="stable")]
         cut = np.searchsorted(row[at], np.arange(len(texts) + 1))
         spans = [spans_of(first[x], last[x] + size).tobytes() for x in (at[cut[i] : cut[i + 1]] for i in range(len(texts)))]
         n, places, docs = len(texts), left["place"].to_pylist(), left["doc_id"].to_pylist()
-        frag = [(places[row[x]], docs[row[x]], int(anchor[x].view(np.int64)), int(first[x]), texts[row[x]][first[x] : last[x] + size]) for x in ask]
-        f = list(zip(*frag, strict=True)) or [()] * 5
-        cols = [(places + list(f[0]), pa.int64()), (docs + list(f[1]), pa.int64()), ([None] * n + list(f[2]), pa.int64()), ([None] * n + list(f[3]), pa.int64()), (left["z"].to_pylist() + list(f[4]), pa.binary()), (spans + [None] * len(frag), pa.binary())]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in cols], names=["place", "doc_id", "anchor", "start", "z", "spans"])
+        frag = [(places[row[x]], docs[row[x]], int(anchor[x].view(np.int64)), int(first[x]), texts[row[x]][first[x] : last[x] + size], bool(contested[distinct[x]] > 1)) for x in ask]
+        f = list(zip(*frag, strict=True)) or [()] * 6
+        cols = [(places + list(f[0]), pa.int64()), (docs + list(f[1]), pa.int64()), ([None] * n + list(f[2]), pa.int64()), ([None] * n + list(f[3]), pa.int64()), (left["z"].to_pylist() + list(f[4]), pa.binary()), (spans + [None] * len(frag), pa.binary()), ([None] * n + list(f[5]), pa.bool_())]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in cols], names=["place", "doc_id", "anchor", "start", "z", "spans", "hot"])
 
-    told = texts.groupBy("chunk").applyInArrow(emit, "chunk int, range int, keys binary, regions binary, earliest binary").groupBy("range").applyInArrow(meet, "chunk int, range int, told binary, contested binary")
-    return texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, "place long, doc_id long, anchor long, start long, z binary, spans binary")
+    sent = texts.groupBy("chunk").applyInArrow(emit, "chunk int, range int, keys binary, regions binary, earliest binary")
+    told = spread(sent, "range", 1 << bits).groupBy("range").applyInArrow(meet, "chunk int, range int, told binary, contested binary")
+    both = texts.groupBy("chunk").cogroup(spread(told, "chunk", n_chunks).groupBy("chunk"))
+    return both.applyInArrow(answer, "place long, doc_id long, anchor long, start long, z binary, spans binary, hot boolean")
+
+
+def repeated_strings(fragments: DataFrame, *, size: int) -> DataFrame:
+    """place, found as `repeated_spans` gives them, each string of the fragments (place, doc_id, start, z) being a key."""
+    strings = F.transform(F.sequence(F.lit(0), F.length("z") - size), lambda i: F.struct((F.col("start") + i).alias("at"), F.substring(F.col("z"), i + 1, F.lit(size)).alias("w")))
+    rows = fragments.select("place", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.inline(strings))
+    first = rows.groupBy("w").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("w", "first")
+    return rows.join(first, "w").filter("id > first").select("place", F.array("at", F.col("at") + size).alias("found"))
 
 
 def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory: int) -> DataFrame:
-    """place, spans of the contested fragments (place, doc_id, anchor, start, z) whose strings an earlier document holds."""
+    """place, found (start, end, start, end, ...) of the contested fragments (place, doc_id, anchor, start, z) whose strings an earlier document holds."""
     total = fragments.agg(F.sum(F.length("z"))).first()[0] or 0
     n = max(1, math.ceil(total / shard_bytes))
     shards = fragments.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n)).cast("int"))
@@ -199,9 +211,9 @@ def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory:
             for x, at in zip(held, repeated_windows([x[3] for x in held], ids, size, memory), strict=True):
                 if len(at):
                     places.append(x[0])
-                    out.append((spans_of(at, at + size) + x[2]).tobytes())
+                    out.append((spans_of(at, at + size) + x[2]).ravel().tolist())
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(out, pa.binary())], names=["place", "found"])
+            return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["place", "found"])
 
         shard = None
         for batch in batches:
@@ -213,22 +225,22 @@ def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory:
         if held:
             yield told()
 
-    return dealt.select("shard", "place", "doc_id", "start", "z").mapInArrow(sort, "place long, found binary")
+    return dealt.select("shard", "place", "doc_id", "start", "z").mapInArrow(sort, "place long, found array<long>")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 8 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 1 << 20, memory: int = 256 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 8 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 1 << 20, memory: int = 256 << 20, most: int = 4096) -> DataFrame:
     """Per input row: place (its number in the input), doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_text
     (string, without characters that were cut apart), spans.
 
     Removes each byte covered by a `size`-byte string that also starts in a document with a smaller id; strings
     are judged on the input. Null and too short texts lose nothing; rows that repeat an id are one document to
     each other; null ids come after all others; an empty table gives no rows. Other input columns stay with
-    the caller, who joins them by `place` = monotonically_increasing_id() of the same input.
+    the caller, who joins them by `place` = monotonically_increasing_id() of the same stored input. Ids are longs.
     """
-    both = stored(split_regions(docs, id_col=id_col, text_col=text_col, size=size, chunk_bytes=chunk_bytes, range_bytes=range_bytes), "regions")
+    both = stored(split_regions(docs, id_col=id_col, text_col=text_col, size=size, chunk_bytes=chunk_bytes, range_bytes=range_bytes, most=most), "regions")
     texts, fragments = both.filter("anchor is null"), both.filter("anchor is not null")
-    found = repeated_spans(fragments.select("place", "doc_id", "anchor", "start", "z"), size=size, shard_bytes=shard_bytes, memory=memory)
-    found = found.groupBy("place").agg(F.collect_list("found").alias("found"))
+    found = repeated_spans(fragments.filter("not hot"), size=size, shard_bytes=shard_bytes, memory=memory)
+    found = found.union(repeated_strings(fragments.filter("hot"), size=size)).groupBy("place").agg(F.flatten(F.collect_list("found")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opener = zstandard.ZstdDecompressor()
@@ -236,7 +248,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             sizes, gone, runs, kept, out = [], [], [], [], []
             for z, spans, found in zip(*(batch.column(c).to_pylist() for c in ("z", "spans", "found")), strict=True):
                 text = opener.decompress(z)
-                every = np.frombuffer(b"".join([spans, *(found or ())]), np.int64).reshape(-1, 2)
+                every = np.concatenate([np.frombuffer(spans, np.int64), np.array(found or (), np.int64)]).reshape(-1, 2)
                 joined = spans_of(every[:, 0], every[:, 1])
                 edges = [0, *joined.ravel().tolist(), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))

@@ -122,8 +122,12 @@ def test_induced_sorting_equals_brute_force():
             assert [x.tolist() for x in induced.repeated_windows(parts, owner, size, memory)] == want
 
 
-def test_suffix_dedup_equals_brute_force(spark, rows):
-    got = suffix_dedup.remove_repeats(frame(spark, rows), chunk_bytes=4000, range_bytes=4000, shard_bytes=1000).collect()
+@pytest.mark.parametrize("most", [4096, 3])
+def test_suffix_dedup_equals_brute_force(spark, rows, most):
+    rng = random.Random(6)
+    line = words(rng, 30)[:55]  # between changing neighbours: one anchor, many regions
+    rows = rows + [(200 + i, words(rng, 20) + line + words(rng, 20), "en") for i in range(40)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), chunk_bytes=4000, range_bytes=4000, shard_bytes=1000, most=most).collect()
     assert len(got) == len(rows)
     key = lambda i: math.inf if i is None else i
     first = {}
