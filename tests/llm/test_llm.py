@@ -147,16 +147,60 @@ def test_suffix_dedup_equals_brute_force(spark, rows, most):
     assert suffix_dedup.remove_repeats(frame(spark, rows).limit(0)).count() == 0
 
 
-def test_interpolation_base_and_held_out(spark, rows):
-    docs = frame(spark, rows)
+def interpolated(tokens, fold):
+    """Scores by plain dictionaries: counts, binned held-out events, expectation-maximisation, mixture."""
+    steps, most = interpolation.STEPS, interpolation.MOST_STEPS
+    start = object()
+    counts = lambda some: (Counter(w for own in some for w in own), Counter(p for own in some for p in zip([start, *own], own)))  # noqa: B905, E731
+    rounded = lambda p: 2.0 ** -(min(round(-math.log2(p) * steps), most - 1) / steps) if p > 0 else 0.0
+    size = lambda h: h.bit_length()
+    trained = [own for i, own in tokens if fold(i) != 2]
+    rest = [own for i, own in tokens if fold(i) not in (2, 3)]
+    deleted = [own for i, own in tokens if fold(i) == 3]
+    (c, pairs), (rc, rpairs) = counts(trained), counts(rest)
+    n, v, rn = sum(c.values()), len(c), sum(rc.values())
+    h_of = lambda a, c, docs: docs if a is start else c[a]
+    events = Counter()
+    for own in deleted:
+        for a, w in zip([start, *own], own):  # noqa: B905
+            h = h_of(a, rc, len(rest))
+            events[size(h), rounded(rpairs[a, w] / max(h, 1)), rounded(rc[w] / max(rn, 1))] += 1
+    weights, whole = {}, (0.4, 0.5, 0.1)
+    for _ in range(60 if events else 0):
+        new = {}
+        for (b, p2, p1), m in events.items():
+            parts = [x * p for x, p in zip(weights.get(b, whole), (p2, p1, 1 / (v + 1)), strict=True)]
+            new.setdefault(b, [0.0] * 3)
+            for k in range(3):
+                new[b][k] += m * parts[k] / sum(parts)
+        whole = tuple(sum(x[k] for x in new.values()) / sum(map(sum, new.values())) for k in range(3))
+        weights = {b: [(x[k] + whole[k]) / (sum(x) + 1) for k in range(3)] for b, x in new.items()}
+    first = weights.get(0, whole)
+    weights[0] = [0, first[1] / (first[1] + first[2]), first[2] / (first[1] + first[2])]
+    out = []
+    for i, own in tokens:
+        score = 0.0
+        for a, w in zip([start, *own], own):  # noqa: B905
+            h = h_of(a, c, len(trained))
+            x = weights.get(size(h), whole)
+            score += math.log10(x[0] * pairs[a, w] / max(h, 1) + x[1] * c[w] / n + x[2] / (v + 1))
+        base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own)
+        out.append((str(i), fold(i) == 2, len(own), sum(c[w] > 0 for w in own), n, round(base, 6), round(score, 4)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("vocabulary", ["wide", "narrow"])
+def test_interpolation_equals_brute_force(spark, rows, vocabulary):
+    rng = random.Random(12)
+    own = rows if vocabulary == "wide" else rows + [(500 + i, " ".join(rng.choices("abcdefgh", [9, 7, 5, 4, 3, 2, 1, 1], k=rng.randint(5, 60))), "en") for i in range(150)]
+    docs = frame(spark, own)
     got = interpolation.score_documents(docs, chunk_bytes=4000, range_bytes=4000).collect()
-    tokens = [(i, (t or "").encode().lower().split() + [None]) for i, t, _ in rows]
-    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
-    c = Counter(w for i, own in tokens if not fold(i) for w in own)
-    n, v = sum(c.values()), len(c)
-    want = sorted((str(i), fold(i), len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), 6)) for i, w in tokens)
-    assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
-    assert all(r["score"] < 0 for r in got)
+    tokens = [(i, (t or "").encode().lower().split() + [None]) for i, t, _ in own]
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7
+    want = interpolated(tokens, fold)
+    told = sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 4)) for r in got)
+    assert [x[:6] for x in told] == [x[:6] for x in want]
+    assert [x[6] for x in told] == pytest.approx([x[6] for x in want], rel=1e-4)
     assert interpolation.score_documents(docs.limit(0)).count() == 0
 
 
