@@ -2,7 +2,8 @@
 
 Texts become word hashes; of every window of six 5-word grams the smallest gram hash is kept as fingerprint, so
 two texts that share ten words share a fingerprint. Document fingerprints are joined with those of the
-benchmark, and each hit is extended to all 10-word windows around it, which are looked up whole.
+benchmark; the places of hits meet the document's words again, and each is extended to all 10-word windows around
+it, which are looked up whole. Items shorter than a window are sought where their first word stands.
 """
 
 from __future__ import annotations
@@ -39,8 +40,12 @@ def winnowed(grams: str, size: int) -> Column:
     return F.when(F.size(grams) >= size, one).otherwise(F.filter(pairs, lambda _: F.lit(False)))
 
 
+#: First words of short items that a predicate may list.
+FIRST_WORDS = 10_000
+
+
 class Benchmark:
-    """Item windows and fingerprints as stored tables: windows(w, len, items), grams(fp)."""
+    """Item windows and fingerprints as stored tables: windows(w, len, first, items), grams(fp)."""
 
     def __init__(self, items: DataFrame, id_col: str, text_col: str, window: int, gram: int):
         rows = items.select(F.col(id_col).alias("item"), word_hashes(F.col(text_col)).alias("h")).filter(F.size("h") > 0)
@@ -48,40 +53,64 @@ class Benchmark:
         for size in range(1, window):
             own = F.when(F.size("h") == size, windows("h", size)).otherwise(own)
         length = F.least(F.size("h"), F.lit(window))
-        cut = rows.select("item", length.alias("len"), F.explode_outer(own).alias("w")).filter("w is not null")
-        self.windows = stored(cut.groupBy("w", "len").agg(F.collect_set("item").alias("items")), "item-windows")
+        first = F.when(length < window, F.get("h", F.lit(0)))
+        cut = rows.select("item", length.alias("len"), first.alias("first"), F.explode_outer(own).alias("w")).filter("w is not null")
+        self.windows = stored(cut.groupBy("w", "len").agg(F.min("first").alias("first"), F.collect_set("item").alias("items")), "item-windows")
+        #: How many items the windows name in all, which bounds the table's bytes.
+        self.named = self.windows.agg(F.sum(F.size("items"))).first()[0] or 0
         grams = rows.filter(F.size("h") >= window).select(windows("h", gram).alias("g")).select(F.explode_outer(winnowed("g", window - gram + 1)).alias("x"))
         self.grams = stored(grams.select(F.col("x.fp").alias("fp")).filter("fp is not null").distinct(), "item-grams")
+        short = self.windows.filter(F.col("len") < window)
         #: Lengths of items too short for a window: at most window - 1 numbers.
-        self.short = sorted(r["len"] for r in self.windows.filter(F.col("len") < window).select("len").distinct().collect())
+        self.short = sorted(r["len"] for r in short.select("len").distinct().collect())
+        firsts = short.select("first").distinct()
+        #: Their first words, if they are few enough for a predicate.
+        self.firsts = [r["first"] for r in firsts.collect()] if self.short and firsts.count() <= FIRST_WORDS else None
+
+
+def hash_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """place (the row's number in the input), id, n_words and h, the words' hashes, stored once for all that follows."""
+    rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).alias("id"), word_hashes(F.col(text_col).cast("string")).alias("h"))
+    return stored(rows.select("place", "id", F.size("h").cast("long").alias("n_words"), "h"), "word-hashes")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, gram: int = 5) -> DataFrame:
-    """Per input row: row (struct of all input columns), n_words, spans array<struct<start, len>>, items array.
+def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, gram: int = 5) -> DataFrame:
+    """Per input row: place, id, n_words, spans array<struct<start, len>>, items array.
 
     A span is a hit window of the document in words (half-open from start), items are the ids of items with a
-    hit. An item of fewer words than `window`, but not none, is one window. Null and empty texts have no words
-    and no hits; repeated rows are judged each; an empty table on either side gives no rows or no hits. The
-    item side is broadcast while counted small, else both sides are shuffled by hash. The document side gives
-    one row per fingerprint, a number in proportion to its text.
+    hit; both are null without one. An item of fewer words than `window`, but not none, is one window. Null and
+    empty texts have no words and no hits; repeated rows are judged each; an empty table on either side gives no
+    rows or no hits. The item side is broadcast while counted small, else both sides are shuffled by hash; the
+    document side then sends a place and a number per fingerprint. Other input columns stay with the caller, who
+    joins them by `place` = monotonically_increasing_id() of the same stored input.
     """
     bench = Benchmark(items, item_id, item_text, window, gram)
-    docs = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("row_id"), F.col(text_col).cast("string").alias("t"))
-    rows = docs.select("row_id", word_hashes(F.col("t")).alias("h"))
-    grams = rows.select("row_id", "h", F.size("h").alias("n_words"), windows("h", gram).alias("g"))
+    rows = hash_words(docs, id_col, text_col)
+    marked = rows.select("place", windows("h", gram).alias("g")).select("place", winnowed("g", window - gram + 1).alias("marks"))
     # Outer explodes: for an inner one the optimizer would test the arrays' sizes first, computing them twice.
-    marked = grams.select("row_id", "h", "n_words", winnowed("g", window - gram + 1).alias("marks"))
-    hits = marked.select("row_id", "h", "n_words", F.explode_outer("marks").alias("m")).select("row_id", "h", "n_words", F.col("m.pos").alias("pos"), F.col("m.fp").alias("fp"))
-    near = hits.join(small_side(bench.grams), "fp")
-    # Extension: the words around the gram give every window that holds it.
-    first = F.greatest(F.col("pos") - (window - gram), F.lit(0))
-    around = near.select("row_id", "n_words", first.alias("first"), F.slice("h", first + 1, F.col("pos") + window - first).alias("a"))
-    spread = around.select("row_id", "n_words", "first", F.posexplode_outer(windows("a", window)).alias("k", "w")).select("row_id", (F.col("first") + F.col("k")).alias("start"), F.lit(window).alias("len"), "w")
-    for size in bench.short:
-        spread = spread.unionByName(rows.select("row_id", F.posexplode_outer(windows("h", size)).alias("start", "w")).select("row_id", "start", F.lit(size).alias("len"), "w"))
-    found = spread.join(small_side(bench.windows), ["w", "len"]).select("row_id", F.struct("start", "len").alias("span"), "items")
-    per_row = found.groupBy("row_id").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-    return docs.select("row", "row_id", F.size(word_hashes(F.col("t"))).cast("long").alias("n_words")).join(per_row, "row_id", "left").drop("row_id")
+    hits = marked.select("place", F.explode_outer("marks").alias("m")).select("place", F.col("m.pos").alias("pos"), F.col("m.fp").alias("fp"))
+    near = stored(hits.join(small_side(bench.grams), "fp").groupBy("place").agg(F.collect_set("pos").alias("at")), "gram-hits")
+    # Extension: every window that holds a gram hit, cut from the document's own words.
+    around = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(F.greatest(p - (window - gram), F.lit(0)), F.least(p, F.col("n_words").cast("int") - window)))))
+    cut = lambda i, size: F.struct(i.cast("int").alias("start"), F.lit(size).alias("len"), F.xxhash64(*[F.get("h", i + j) for j in range(size)]).alias("w"))
+    places = small_side(near, rows=near.agg(F.sum(F.size("at"))).first()[0] or 0)
+    spread = rows.filter(F.col("n_words") >= window).join(places, "place").select("place", F.transform(around, lambda i: cut(i, window)).alias("x"))
+    if bench.short:
+        whole = F.lit(True) if bench.firsts is None else None
+        may = lambda i: whole if whole is not None else F.get("h", i).isin(bench.firsts)
+        starts = F.filter(F.transform("h", lambda _, i: i), may)
+        of = lambda size: F.transform(F.filter("starts", lambda i: i <= F.col("n_words") - size), lambda i: cut(i, size))
+        spread = spread.union(rows.select("place", "n_words", "h", starts.alias("starts")).select("place", F.concat(*[of(size) for size in bench.short])))
+    spread = spread.select("place", F.explode_outer("x").alias("x")).select("place", "x.*")
+    found = spread.join(small_side(bench.windows.drop("first"), rows=bench.named), ["w", "len"]).select("place", F.struct("start", "len").alias("span"), "items")
+    per_row = stored(found.groupBy("place").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")), "hits")
+    return rows.select("place", "id", "n_words").join(per_row, "place", "left")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of `docs`, a stored table, that hold no window of an item."""
+    hit = find_contamination(docs, items, **options).filter("spans is not null").select(F.col("place").alias("__place"))
+    return docs.withColumn("__place", F.monotonically_increasing_id()).join(small_side(hit), "__place", "left_anti").select(*docs.columns)
 
 
 def covered(spans: Column) -> Column:
@@ -99,7 +128,7 @@ def contamination_query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     names = F.array_sort(F.transform(F.coalesce("items", F.array().cast("array<bigint>")), lambda i: i.cast("string")))
-    out = found.select(F.col("row.doc_id").alias("doc_id"), "n_words", covered(F.col("spans")).alias("n_hit"), names.alias("names"))
+    out = found.select(F.col("id").alias("doc_id"), "n_words", covered(F.col("spans")).alias("n_hit"), names.alias("names"))
     return out.select("doc_id", "n_words", "n_hit", F.size("names").cast("long").alias("n_items"), F.sha2(F.array_join("names", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 

@@ -24,7 +24,7 @@ SPACES = b" \t\n\v\f\r"
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other", "beyond_ascii")
 N_CLASSES = len(CLASSES)
 #: Distinct words that a task counts before it passes its counts on.
-COUNTED = 1 << 19
+COUNTED = 1 << 18
 #: Counts in a batch that a task passes on.
 TOLD = 1 << 16
 
@@ -54,6 +54,9 @@ class Rules:
     max_common_distance: float = 0.45
     min_reference_words: int = 1000
 
+    def common_limit(self, n_words: int) -> float:
+        return self.max_common_distance
+
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     """Square root of the Jensen-Shannon divergence (base 2) of two count vectors with positive sums."""
@@ -179,7 +182,7 @@ def judge_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
                     if n >= rules.min_common_words:
                         at = np.fromiter((place.get(w, len(place)) for w in text.lower().split()), np.int64, n)
                         common = js_distance(np.bincount(at, minlength=len(place) + 1), counts)
-                verdict = not failed and (far is None or far <= rules.max_class_distance) and (common is None or common <= rules.max_common_distance)
+                verdict = not failed and (far is None or far <= rules.max_class_distance) and (common is None or common <= rules.common_limit(n))
                 out.append((*base, far, common, failed, verdict))
             cols = zip(*out, strict=True) if out else [()] * len(fields)
             yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[f.name for f in schema])

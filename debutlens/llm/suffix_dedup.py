@@ -114,6 +114,20 @@ def spans_of(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], ends[np.append(new[1:], True)]], 1).astype(np.int64)
 
 
+def whole_characters(text: bytes, spans: np.ndarray) -> str:
+    """The text without the spans, but with every character of which a byte stays."""
+    out, at = [], 0
+    for a, b in spans.tolist():
+        while a < len(text) and text[a] & 0xC0 == 0x80:
+            a += 1
+        while b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append(text[at:a])
+            at = b
+    return b"".join([*out, text[at:]]).decode()
+
+
 def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chunk_bytes: int, range_bytes: int, most: int) -> DataFrame:
     """Rows of two kinds: documents (place long, doc_id, z: compressed text, spans: removed outright) and fragments
     (place, doc_id, anchor, start, z: the bytes of a contested region, hot: its anchor has over `most` regions)."""
@@ -230,7 +244,7 @@ def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory:
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 8 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 1 << 20, memory: int = 256 << 20, most: int = 4096) -> DataFrame:
     """Per input row: place (its number in the input), doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_text
-    (string, without characters that were cut apart), spans.
+    (string, with every character of which a byte stays), spans.
 
     Removes each byte covered by a `size`-byte string that also starts in a document with a smaller id; strings
     are judged on the input. Null and too short texts lose nothing; rows that repeat an id are one document to
@@ -245,19 +259,20 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            sizes, gone, runs, kept, out = [], [], [], [], []
+            sizes, gone, runs, kept, whole, out = [], [], [], [], [], []
             for z, spans, found in zip(*(batch.column(c).to_pylist() for c in ("z", "spans", "found")), strict=True):
                 text = opener.decompress(z)
                 every = np.concatenate([np.frombuffer(spans, np.int64), np.array(found or (), np.int64)]).reshape(-1, 2)
                 joined = spans_of(every[:, 0], every[:, 1])
                 edges = [0, *joined.ravel().tolist(), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                whole.append(whole_characters(text, joined))
                 sizes.append(len(text))
                 gone.append(len(text) - len(kept[-1]))
                 runs.append(len(joined))
                 out.append([{"start": a, "end": b} for a, b in joined.tolist()])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, gone, runs)), pa.array(kept, pa.binary()), pa.array([k.decode(errors="ignore") for k in kept], pa.string()), pa.array(out, span)], names=["place", "doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, gone, runs)), pa.array(kept, pa.binary()), pa.array(whole, pa.string()), pa.array(out, span)], names=["place", "doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "spans"])
 
     joined = texts.select("place", "doc_id", "z", "spans").join(found, "place", "left")
     return joined.mapInArrow(cut, "place long, doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, spans array<struct<start: long, end: long>>")

@@ -35,12 +35,17 @@ def rows():
     return out + [(10 + i, words(rng, rng.randint(1, 120)), rng.choice(["en", "fr"])) for i in range(40)] + [(60, long[50:250] + words(rng, 30), "en")]
 
 
-def test_decontamination_equals_brute_force(spark, rows):
+@pytest.mark.parametrize("few", [True, False])
+def test_decontamination_equals_brute_force(spark, rows, few, monkeypatch):
+    if not few:  # the forms for large benchmarks
+        monkeypatch.setattr(decontamination, "FIRST_WORDS", 0)
+        monkeypatch.setattr(decontamination, "small_side", lambda df, **_: df)
     texts = [t for _, t, _ in rows if t and len(t) > 200]
     items = [(1, " ".join(texts[0].split()[5:30]).upper().replace("É", "é")), (2, None), (3, "one two"), (4, " ".join(texts[3].split()[:3])), (5, "")]
     word = lambda t: __import__("re").findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
     got = decontamination.find_contamination(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
-    got = got.select("row.doc_id", "row.text", "n_words", decontamination.covered(F.col("spans")).alias("n"), F.array_sort("items").alias("i")).collect()
+    text = frame(spark, rows).select(F.monotonically_increasing_id().alias("place"), "text")
+    got = got.join(text, "place").select("id", "text", "n_words", decontamination.covered(F.col("spans")).alias("n"), F.array_sort("items").alias("i")).collect()
     assert len(got) == len(rows)
     for r in got:
         own, hit, names = word(r["text"]), set(), set()
@@ -54,6 +59,9 @@ def test_decontamination_equals_brute_force(spark, rows):
                         hit |= set(range(i, i + n))
                         names.add(item)
         assert (r["n_words"], r["n"], r["i"] or []) == (len(own), len(hit), sorted(names))
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.find_contamination(frame(spark, rows), none).filter("spans is not null").isEmpty()
+    assert decontamination.find_contamination(frame(spark, rows).limit(0), none).isEmpty()
 
 
 def test_coder_equals_the_tokenizer():
@@ -371,6 +379,63 @@ def test_shards(spark, rows, tmp_path):
     assert sharding.write_shards(frame(spark, rows).limit(0), 8, f"file://{tmp_path}/e").count() == 0
 
 
+def plain_quality(rows, rules=quality.Rules()):  # noqa: B008
+    """Per row: base columns, both distances and the verdict, in plain Python."""
+    def of_char(c):
+        for name, some in (("lower", "abcdefghijklmnopqrstuvwxyz"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("digit", "0123456789"), ("space", " \t\n\v\f\r"), ("stop", ".,;:!?'\"()-"), ("symbol", "#*$%&|<>")):
+            if c in some:
+                return name
+        return "beyond_ascii" if ord(c) > 127 else "other"
+
+    def distance(p, q):
+        keys, a, b = set(p) | set(q), sum(p.values()), sum(q.values())
+        kl = lambda x, n: sum(v / n * math.log2(v / n / ((p.get(k, 0) / a + q.get(k, 0) / b) / 2)) for k, v in x.items() if v)
+        return math.sqrt(max(0, (kl(p, a) + kl(q, b)) / 2)) if keys else 0
+
+    split = lambda t: __import__("re").findall(r"[^\x20\x09-\x0D]+", t)
+    lower = lambda w: w.translate({i: i + 32 for i in range(65, 91)})
+    counts, classes = {}, {}
+    for _, t, lang in rows:
+        counts.setdefault(lang or "", Counter()).update(map(lower, split(t or "")))
+        classes.setdefault(lang or "", Counter()).update(map(of_char, t or ""))
+    out = []
+    for _, t, lang in rows:
+        t, c, total = t or "", counts[lang or ""], sum(counts[lang or ""].values())
+        w = split(t)
+        runs = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        again = {j for i in range(len(w) - 7) if runs[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
+        lines = [x for x in t.split("\n") if split(x)]
+        base = (len(w), sum(map(len, w)), sum(x in "#*$%&|<>" for x in t), len(lines) - len(set(lines)), len(again))
+        failed = len(w) < rules.min_words or 100 * len(again) > rules.max_repeat_percent * len(w)
+        far = common = None
+        if total >= rules.min_reference_words:
+            if len(t) >= rules.min_class_chars:
+                far = distance(Counter(map(of_char, t)), classes[lang or ""])
+            if len(w) >= rules.min_common_words:
+                top = [k for k, _ in sorted(c.items(), key=lambda x: (-x[1], x[0].encode()))[: rules.top_words]]
+                fold = lambda x: Counter({k: x[k] for k in top if x[k]}) + Counter({"\0": sum(x.values()) - sum(x[k] for k in top)})
+                common = distance(fold(Counter(map(lower, w))), fold(c))
+        kept = not failed and (far is None or far <= rules.max_class_distance) and (common is None or common <= rules.common_limit(len(w)))
+        out.append((*base, far, common, failed, kept))
+    return out
+
+
+def test_quality_equals_brute_force(spark, rows):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(rng.choices("the of and to in is that was he for it with as his on be at by".split(), k=n))
+    own = rows + [(100 + i, prose(rng.randint(5, 300)) + rng.choice([".", " #1\n", " É\t", "|"]), rng.choice(["en", "fr", "xx"])) for i in range(60)]
+    own += [(300 + i, "".join(rng.choices("#|$%x 7", k=600)), "en") for i in range(5)] + [(310, "x y\nx y\n \nz", "en")]
+    got = quality.judge_quality(frame(spark, own)).collect()
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "common_distance", "base_failed", "kept"]
+    key = lambda x: str((x[0], x[1]))
+    told = sorted(((r["row"]["doc_id"], r["row"]["text"], *(r[n] for n in names)) for r in got), key=key)
+    want = sorted(((i, t, *x) for (i, t, _), x in zip(own, plain_quality(own), strict=True)), key=key)
+    for a, b in zip(told, want, strict=True):
+        assert a[:7] == b[:7] and a[9:] == b[9:]
+        assert [x if x is None else pytest.approx(x, abs=1e-9) for x in b[7:9]] == list(a[7:9])
+    assert {x[-1] for x in want} == {True, False} and any(x[7] for x in want) and any(x[8] for x in want)
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(7)
     text = [words(rng, 80) for _ in range(12)]
