@@ -10,33 +10,53 @@ from debutlens.llm.common import stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules (6) keep.
+
+    Null and empty texts go, for they have no words; repeated rows get equal verdicts; null languages are one
+    language; an empty table gives no rows; other columns, whatever their names, stay as they are.
+    """
     return quality.judge_quality(docs).filter("kept").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (5-word similarity of 0.8 or more): the smallest id."""
+    """One document of each group of near duplicates (7; 5-word similarity of 0.8 or more): the smallest id.
+
+    Fingerprints find the first pairs, shared shingles those that fingerprints miss. Null and empty texts are
+    copies of each other, repeated rows too; null ids come after all others; an empty table gives no rows; other
+    columns stay as they are.
+    """
     return similar.one_of_each_group(docs)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings that an earlier one holds; n_chars follows the text."""
-    kept = suffix_dedup.remove_repeats(docs).select("place", "kept_text")
-    rest = docs.withColumn("__place", F.monotonically_increasing_id()).drop("text")
-    joined = rest.join(kept, rest["__place"] == kept["place"]).withColumn("text", F.col("kept_text"))
+    """All documents, without the strings of 50 bytes that an earlier one holds (3); n_chars, if there, follows the text.
+
+    Null texts become empty, as may whole copies; rows that repeat an id lose nothing to each other; null ids
+    come last; an empty table gives no rows; other columns, whatever their names, stay as they are.
+    """
+    kept = suffix_dedup.remove_repeats(docs).select(F.col("place").alias("__kept"), F.col("kept_text").alias("__text"))
+    rest = docs.drop("text").withColumn("__place", F.monotonically_increasing_id())
+    joined = rest.join(kept, F.col("__place") == F.col("__kept")).withColumn("text", F.col("__text"))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.find_contamination(docs, items).filter("spans is null").select("row.*")
+    """Documents that hold no window of a benchmark item (1).
+
+    Null and empty texts hold none and stay; repeated rows are judged each; an empty table on either side gives
+    no rows or no hits; other columns stay as they are.
+    """
+    return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in the training sequences."""
+    """The pieces of all documents and their places in the training sequences (2).
+
+    Null and empty texts are one end token; repeated rows give pieces each; an empty table gives no rows; other
+    columns are left out.
+    """
     return packing.packing_query(spark, sf_dir, docs)
 
 
@@ -48,7 +68,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SimHash components, byte-pair tokens and best-fit places can't be said in SQL; tests check against brute force.
+#: SimHash components, byte-pair tokens and best-fit places can't be said in SQL; a test compares run() with a
+#: plain version of all five stages.
 ORACLE_SQL = None
 
 
