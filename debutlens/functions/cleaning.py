@@ -50,6 +50,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
-def first_of(df: DataFrame, names: list[str]) -> Column:
+
+def first_column(df: DataFrame, names: list[str], kind: str = "string") -> Column:
     """The first of these columns that the table has, else NULL."""
-    return next((F.col(n) for n in names if n in df.columns), F.lit(None).cast("string"))
+    return next((F.col(n) for n in names if n in df.columns), F.lit(None).cast(kind))

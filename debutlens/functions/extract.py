@@ -5,11 +5,11 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .cleaning import clip, number
+from .cleaning import clip, first_column, number
 
 #: The labels and patterns of the filings' fields, and the underwriters of either tier.
 BAND = "희망\\s*공모가[^0-9]*([0-9,]+)\\s*[~～]\\s*([0-9,]+)"
@@ -24,6 +24,8 @@ RISK_MARK = "(?:^|\\s)(?:[가-하]\\.|[0-9]{1,2}\\.|[①-⑳])"
 LISTING = "상장\\s*예정일[^0-9]*(\\d{4})\\s*[.\\-년]\\s*(\\d{1,2})\\s*[.\\-월]\\s*(\\d{1,2})"
 DEMAND = "경쟁률[^0-9]*([0-9,]+(?:\\.[0-9]+)?)\\s*(?::|대)\\s*1"
 LOCKUP_LABELS = {"lockup_6m_ratio": "6개월", "lockup_3m_ratio": "3개월", "lockup_1m_ratio": "1개월", "lockup_15d_ratio": "15일", "lockup_none_ratio": "확약없음|미확약"}
+UNDERWRITER_COLUMNS = ("lead_underwriter", "underwriter", "underwriters", "manager")
+RISK_TEXT_COLUMNS = ("risk_factor_text", "risk_factors", "prospectus_risk_text")
 TIER_1 = ("NH투자증권", "한국투자증권", "미래에셋증권", "KB증권", "삼성증권", "신한투자증권", "하나증권")
 TIER_2 = ("대신증권", "키움증권", "신영증권", "유안타증권", "교보증권", "하이투자증권", "IBK투자증권", "DB금융투자", "메리츠증권", "현대차증권", "유진투자증권", "한화투자증권", "SK증권")
 
@@ -93,3 +95,16 @@ def underwriter_tier(name: Column, tier_1: tuple[str, ...] = TIER_1, tier_2: tup
     squeezed = F.regexp_replace(name, "(?U)\\s+", "")
     any_of = lambda names: F.coalesce(*[F.when(F.contains(squeezed, F.lit(n)), True) for n in names], F.lit(False))
     return F.when(name.isNotNull(), F.when(any_of(tier_1), 1).when(any_of(tier_2), 2).otherwise(3))
+
+
+def with_underwriter_tier(df: DataFrame, names: tuple[str, ...] = UNDERWRITER_COLUMNS, out: str = "underwriter_tier") -> DataFrame:
+    """A given tier is kept as a number held between 1 and 3; else it is told by the first name column that is there."""
+    given = clip(number(F.col(out)), 1.0, 3.0).cast("int") if out in df.columns else underwriter_tier(first_column(df, list(names)))
+    return df.withColumn(out, given)
+
+
+def with_risk_count(df: DataFrame, texts: tuple[str, ...] = RISK_TEXT_COLUMNS, out: str = "risk_factor_count") -> DataFrame:
+    """A given count is kept as a number held between 0 and 60; else marks are counted in the first text column that is
+    there, and none is NULL."""
+    given = clip(number(F.col(out)), 0.0, 60.0).cast("int") if out in df.columns else risk_marks(first_column(df, list(texts))).cast("int")
+    return df.withColumn(out, given)

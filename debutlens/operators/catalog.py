@@ -90,8 +90,15 @@ class FittedImputer:
 
         return df.select(*(keep or []), *map(made, self.features))
 
-    def as_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.fills.items()), "name string, fill double")
+    def save(self, path: str) -> None:
+        """The fill values as a small table; the features come from the catalog."""
+        spark = SparkSession.active()
+        spark.createDataFrame([(f.name, self.fills[f.name]) for f in self.features], "name string, fill double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedImputer:
+        fills = {r["name"]: r["fill"] for r in spark.read.parquet(path).collect()}  # a row per feature
+        return cls([f for f in FEATURES if f.name in fills], fills)
 
 
 class Imputer:

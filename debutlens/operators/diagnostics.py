@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .features import asof_momentum
+
 #: Limits of the causes, hints and recommended features.
 BEAR_20D, CRASH_5D, CROWDED_DAY, LOOSE_FLOAT, HOT_SECTOR, OLD_SHARES = -0.08, -0.04, 4, 0.6, 50.0, 0.5
+CAUSES = [
+    ("A_market", "KOSPI 20일 수익률 %.1f%% (약세장 구간)", ["kospi_momentum_60d", "bear_market_flag", "volatility_index"]),
+    ("A_market", "상장 직전 KOSPI 급락 %.1f%%", ["kospi_momentum_5d_extreme_flag", "market_stress_flag"]),
+    ("B_supply", "동일일 상장 %d개 (수급 분산)", ["same_day_ipo_count", "same_day_total_offer_size"]),
+    ("B_supply", "유통 물량 과다 (%.0f%%)", ["float_share_ratio", "secondary_offering_ratio"]),
+    ("C_sector", "섹터 평균 수익률 이상 (%.1f%%)", ["sector_heat_index", "recent_ipo_avg_return_sector"]),
+    ("D_structure", "구주매출 과다 (%.0f%%)", ["secondary_offering_ratio", "vc_exit_flag"]),
+    ("E_unknown", "명확한 패턴 없음", []),
+]
+OVERSHOOT = " | 방향 예측 오류"
 RECOMMENDED = {
     "A_market": ["kospi_momentum_60d (60일 장기 모멘텀 — 약세장 국면 감지)", "bear_market_flag (KOSPI 20일 수익률 < -8% 이진 플래그)", "market_volatility_20d (20일 변동성 — 불확실성 환경 반영)"],
     "B_supply": ["same_day_ipo_count (동일 상장일 종목 수)", "same_day_total_market_cap (동일일 공모 총 시총 — 수급 희소성)", "float_share_ratio (유통 물량 비율 — Phase 2 우선 추가)"],
@@ -14,6 +26,9 @@ RECOMMENDED = {
     "D_structure": ["secondary_offering_ratio (구주매출 비율 — Phase 2 우선 추가)", "vc_backed_flag (VC 투자 기업 여부)", "audit_firm_tier (회계법인 등급)"],
 }
 
+#: The context of a listing that causes look at, beside the index.
+CONTEXT = ("same_day_ipo_count", "float_share_ratio", "recent_ipo_avg_return_sector", "secondary_offering_ratio")
+
 
 def mae() -> Column:
     return F.avg(F.abs(F.col("actual") - F.col("pred")))
@@ -60,9 +75,10 @@ def with_sigma(predictions: DataFrame) -> DataFrame:
 
 
 def error_distribution(predictions: DataFrame) -> DataFrame:
+    """One row; of an empty table counts are 0 and all else is NULL."""
     e = with_sigma(predictions).filter(F.col("abs_error").isNotNull())
     x = F.col("abs_error")
-    share = lambda c: F.round(100 * F.count_if(c) / F.count(F.lit(1)), 4)
+    share = lambda c: F.round(F.try_divide(100 * F.count_if(c), F.count(F.lit(1))), 4)
     return e.agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(x), 4).alias("mean"), F.round(F.median(x), 4).alias("median"), F.round(F.stddev_samp(x), 4).alias("std"), F.round(F.percentile(x, 0.9), 4).alias("p90"),
         share(F.col("error_sigma") < 1).alias("within_1_sigma_pct"), share(F.col("error_sigma") < 2).alias("within_2_sigma_pct"), F.count_if(F.col("error_sigma") >= 2).alias("n_beyond_2_sigma"),
@@ -84,24 +100,40 @@ def outliers(predictions: DataFrame, sigmas: float = 2.0, points: float = 15.0)
     return with_sigma(predictions).filter((F.col("error_sigma") >= sigmas) & (F.col("abs_error") >= points))
 
 
+def with_listing_context(predictions: DataFrame, context: DataFrame, key: str = "listing_id") -> DataFrame:
+    """Predictions with the context columns of their listings that causes look at; those already there give way."""
+    own = [c for c in CONTEXT if c in context.columns]
+    return predictions.drop(*own).join(context.select(key, *own), key, "left")
+
+
+def with_index_context(rows: DataFrame, index: DataFrame, code: str = "KOSPI", date: str = "listing_date") -> DataFrame:
+    """Adds kospi_mom_5d, 20d and 60d: the index's momentum at the newest session before each row's date."""
+    out = asof_momentum(rows, index, code, "__index", date=date)
+    return out.withColumnsRenamed({f"__index_momentum_{n}d": f"kospi_mom_{n}d" for n in (5, 20, 60)})
+
+
 def with_cause(rows: DataFrame) -> DataFrame:
     """Adds cause, cause_detail, feature_hint, overshoot and direction_wrong. Unknown context matches no cause."""
     have = set(rows.columns)
     c = lambda n: F.col(n) if n in have else F.lit(None).cast("double")
-    m20, m5, crowd, free, heat, old = (c(n) for n in ("kospi_mom_20d", "kospi_mom_5d", "same_day_ipo_count", "float_share_ratio", "recent_ipo_avg_return_sector", "secondary_offering_ratio"))
-    told = lambda cause, text, hints, *args: F.struct(F.lit(cause).alias("cause"), (F.format_string(text, *args) if args else F.lit(text)).alias("detail"), F.array(*map(F.lit, hints)).alias("hints"))
+    m20, m5, crowd, free, heat, old = (c(n) for n in ("kospi_mom_20d", "kospi_mom_5d", *CONTEXT))
+
+    def told(place: int, *args):
+        cause, text, hints = CAUSES[place]
+        return F.struct(F.lit(cause).alias("cause"), (F.format_string(text, *args) if args else F.lit(text)).alias("detail"), F.array(*map(F.lit, hints)).alias("hints"))
+
     cause = (
-        F.when(m20 < BEAR_20D, told("A_market", "KOSPI 20일 수익률 %.1f%% (약세장 구간)", ["kospi_momentum_60d", "bear_market_flag", "volatility_index"], m20 * 100))
-        .when(m5 < CRASH_5D, told("A_market", "상장 직전 KOSPI 급락 %.1f%%", ["kospi_momentum_5d_extreme_flag", "market_stress_flag"], m5 * 100))
-        .when(crowd >= CROWDED_DAY, told("B_supply", "동일일 상장 %d개 (수급 분산)", ["same_day_ipo_count", "same_day_total_offer_size"], crowd.cast("int")))
-        .when(free > LOOSE_FLOAT, told("B_supply", "유통 물량 과다 (%.0f%%)", ["float_share_ratio", "secondary_offering_ratio"], free * 100))
-        .when(F.abs(heat) > HOT_SECTOR, told("C_sector", "섹터 평균 수익률 이상 (%.1f%%)", ["sector_heat_index", "recent_ipo_avg_return_sector"], heat.cast("double")))
-        .when(old > OLD_SHARES, told("D_structure", "구주매출 과다 (%.0f%%)", ["secondary_offering_ratio", "vc_exit_flag"], old * 100))
-        .otherwise(told("E_unknown", "명확한 패턴 없음", []))
+        F.when(m20 < BEAR_20D, told(0, m20 * 100))
+        .when(m5 < CRASH_5D, told(1, m5 * 100))
+        .when(crowd >= CROWDED_DAY, told(2, crowd.cast("int")))
+        .when(free > LOOSE_FLOAT, told(3, free * 100))
+        .when(F.abs(heat) > HOT_SECTOR, told(4, heat.cast("double")))
+        .when(old > OLD_SHARES, told(5, old * 100))
+        .otherwise(told(6))
     )
     over = F.coalesce(F.col("error") * F.col("actual") < 0, F.lit(False))
     out = rows.withColumn("__c", cause).withColumns({"overshoot": over, "direction_wrong": F.coalesce(F.col("pred") * F.col("actual") < 0, F.lit(False))})
-    detail = F.concat(F.col("__c.detail"), F.when(F.col("overshoot"), " | 방향 예측 오류").otherwise(""))
+    detail = F.concat(F.col("__c.detail"), F.when(F.col("overshoot"), OVERSHOOT).otherwise(""))
     return out.withColumns({"cause": F.col("__c.cause"), "cause_detail": detail, "feature_hint": F.col("__c.hints")}).drop("__c")
 
 
@@ -127,3 +159,13 @@ def recommendations(causes: DataFrame, share: float = 0.30) -> DataFrame:
 def run_summary(predictions: DataFrame) -> DataFrame:
     flagged = with_sigma(predictions).agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("error_sigma") >= 2) & (F.col("abs_error") >= 15)).alias("n_outliers"), F.countDistinct("window").alias("n_windows"))
     return flagged.select("n", "n_outliers", "n_windows", F.round(F.coalesce(F.try_divide("n_outliers", "n"), F.lit(0.0)), 6).alias("outlier_rate"))
+
+
+def run_report(predictions: DataFrame, causes: DataFrame) -> DataFrame:
+    """One nested row: backtest (overall metrics), by_year (array), outliers (counts, rate, causes as a map)."""
+    years = metrics_by(predictions, year=F.year("listing_date")).agg(F.array_sort(F.collect_list(F.struct("year", "n", "mae", "direction_acc"))).alias("by_year"))
+    summary = run_summary(predictions).select(F.struct("n_outliers", "outlier_rate").alias("o"))
+    counted = cause_counts(causes).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("cause", "n")))).alias("causes"))
+    backtest = overall_metrics(predictions).select(F.struct("*").alias("backtest"))
+    joined = backtest.crossJoin(years).crossJoin(summary).crossJoin(counted)  # one row each
+    return joined.select("backtest", "by_year", F.struct("o.n_outliers", "o.outlier_rate", "causes").alias("outliers"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import clip, ratio
+from ..functions.cleaning import clip, number, ratio
+from ..sources.store import stored
 
 #: Weights of the commitment periods.
 LOCKUP_WEIGHTS = {"lockup_6m_ratio": 1.0, "lockup_3m_ratio": 0.75, "lockup_1m_ratio": 0.5, "lockup_15d_ratio": 0.25}
@@ -26,12 +27,18 @@ def band_exceeded(position: Column) -> Column:
     return F.coalesce(position > 1.0, F.lit(False)).cast("int")
 
 
-def secondary_ratio(new: str = "new_shares", old: str = "secondary_shares") -> Column:
+def secondary_ratio(new: str = "new_shares", old: str = "secondary_shares", given: str | None = None) -> Column:
+    """Share of existing shares in the offer; a column `given` is kept as it is."""
+    if given:
+        return F.col(given)
     a, b = F.coalesce(F.col(new), F.lit(0.0)), F.coalesce(F.col(old), F.lit(0.0))
     return clip(ratio(b, a + b), 0.0, 1.0)
 
 
-def float_ratio(total: str = "total_post_listing_shares", new: str = "new_shares", old: str = "secondary_shares", public: str | None = None) -> Column:
+def float_ratio(total: str = "total_post_listing_shares", new: str = "new_shares", old: str = "secondary_shares", public: str | None = None, given: str | None = None) -> Column:
+    """Share of the listed shares that are free to trade; a column `given` is kept as it is."""
+    if given:
+        return F.col(given)
     free = F.col(public) if public else F.coalesce(F.col(new), F.lit(0.0)) + F.coalesce(F.col(old), F.lit(0.0))
     return clip(ratio(free, F.col(total)), 0.0, 1.0)
 
@@ -56,8 +63,25 @@ def open_return(open_price: str = "open_price", offer: str = "offering_price") -
     return F.when((F.col(offer) > 0) & F.col(open_price).isNotNull(), (F.col(open_price) / F.col(offer) - 1) * 100)
 
 
-def with_same_day_count(df: DataFrame, date: str = "listing_date", out: str = "same_day_ipo_count") -> DataFrame:
-    """Rows on the same date, by an aggregate that is joined back, so that one busy date costs one row; no date: 0."""
+def extreme_return(limit: float = 200.0, value: str = "open_return_pct") -> Column:
+    """Whether a return is so far from 0 that it should be looked at; rows are kept."""
+    return F.coalesce(F.abs(F.col(value)) > limit, F.lit(False))
+
+
+def extreme_report(df: DataFrame, limit: float = 200.0, value: str = "open_return_pct", name: str = "corp_name", shown: int = 5) -> DataFrame:
+    """One row: how many returns are extreme, and the names of the `shown` greatest."""
+    far = df.filter(extreme_return(limit, value))
+    top = far.orderBy(F.desc(F.abs(F.col(value))), name).limit(shown).agg(F.transform(F.reverse(F.array_sort(F.collect_list(F.struct(F.abs(F.col(value)).alias("v"), F.col(name).alias("n"))))), lambda x: x["n"]).alias("names"))
+    return far.agg(F.count(F.lit(1)).alias("n")).crossJoin(top)
+
+
+def with_same_day_count(df: DataFrame, date: str = "listing_date", out: str = "same_day_ipo_count", given: str | None = None) -> DataFrame:
+    """Rows on the same date, by an aggregate that is joined back, so that one busy date costs one row; no date: 0.
+
+    A column `given` is taken instead, as a number held between 0 and 20.
+    """
+    if given:
+        return df.withColumn(out, clip(number(F.col(given)), 0.0, 20.0).cast("int"))
     counts = df.filter(F.col(date).isNotNull()).groupBy(date).agg(F.count(F.lit(1)).alias(out))
     return df.join(counts, date, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
@@ -72,10 +96,10 @@ def with_group_median_ratio(df: DataFrame, value: str, group: str | None, out: s
 
 
 def index_momentum(index: DataFrame, spans: tuple[int, ...] = (5, 20, 60)) -> DataFrame:
-    """Per session: close over that of n sessions before, less 1; 0.0 with n or fewer sessions so far. One task per index."""
+    """Per session: close over that of n sessions before, less 1; 0.0 with n or fewer sessions so far, or for a close of 0 or none. One task per index."""
     by = Window.partitionBy("index_code").orderBy("date")
     numbered = index.withColumn("__n", F.row_number().over(by))
-    move = lambda n: F.coalesce(F.when(F.col("__n") > n, F.round(F.col("close") / F.lag("close", n).over(by) - 1, 6)), F.lit(0.0))
+    move = lambda n: F.coalesce(F.when(F.col("__n") > n, F.round(F.try_divide("close", F.lag("close", n).over(by)) - 1, 6)), F.lit(0.0))
     out = numbered.select("index_code", "date", "close", *[move(n).alias(f"mom_{n}d") for n in spans])
     return out.withColumn("bear_market_flag", (F.col("mom_20d") < -0.08).cast("int")) if 20 in spans else out
 
@@ -96,40 +120,42 @@ def asof_momentum(listings: DataFrame, index: DataFrame, code: str, prefix: str,
     return out.fillna(0.0, [f"{prefix}_momentum_{k}d" for k in spans])
 
 
-def recent_mean(df: DataFrame, value: str, n: int, out: str, *, group: str | None = None, date: str = "listing_date", key: str = "listing_id", strict_date: bool = False) -> DataFrame:
+def recent_mean(df: DataFrame, value: str, n: int, out: str, *, group: str | None = None, date: str = "listing_date", key: str = "listing_id", strict_date: bool = False, known: DataFrame | None = None) -> DataFrame:
     """Mean of the last `n` known values before each row by (date, key), in its group if given; none: NULL.
 
     Rows are dealt by month; each month is given, as seeds, the last `n` known rows of all months before it,
     carried forward over a table of `n` rows a month. So no task sorts more than a month of a group and `n` rows.
-    With `strict_date` results of the same date don't count: they are left out by starting before the date.
+    With `strict_date` results of the same date don't count. Rows stay as they are, repeated keys too; rows without
+    a date get NULL. `known`: the same rows, if a stored table has them, to make the seeds from.
     """
-    known = df.filter(F.col(value).isNotNull() & F.col(date).isNotNull())
-    month = F.trunc(F.col(date), "month")
-    by = [F.coalesce(F.col(group), F.lit("")).alias("__g")] if group else [F.lit("").alias("__g")]
-    base = known.select(*by, month.alias("__m"), F.col(date).alias("__d"), F.col(key).cast("long").alias("__k"), F.col(value).cast("double").alias("__v"))
+    source = (known if known is not None else df).filter(F.col(date).isNotNull())
+    at = [F.coalesce(F.col(group).cast("string"), F.lit("")).alias("__g") if group else F.lit("").alias("__g"), F.trunc(F.col(date), "month").alias("__m")]
+    own = [F.col(date).alias("__d"), F.col(key).alias("__k"), F.col(value).cast("double").alias("__v")]
+    base = source.filter(F.col(value).isNotNull()).select(*at, *own)
     newest = Window.partitionBy("__g", "__m").orderBy(F.desc("__d"), F.desc("__k"))
     tails = base.withColumn("__r", F.row_number().over(newest)).filter(F.col("__r") <= n)
     tail_rows = tails.groupBy("__g", "__m").agg(F.collect_list(F.struct("__d", "__k", "__v")).alias("tail"))
-    months = df.filter(F.col(date).isNotNull()).select(*by, month.alias("__m")).distinct()
-    past = Window.partitionBy("__g").orderBy("__m").rowsBetween(-2 * n, -1)
+    months = source.select(*at).distinct()
     # the last n known rows lie in the last n months that have any, so months without are passed over first
-    filled = tail_rows.withColumn("upto", F.slice(F.reverse(F.array_sort(F.flatten(F.collect_list("tail").over(Window.partitionBy("__g").orderBy("__m").rowsBetween(-n, 0))))), 1, n))
-    seeded = months.join(filled.select("__g", "__m", "upto"), ["__g", "__m"], "left").withColumn("seeds", F.last("upto", ignorenulls=True).over(past.rowsBetween(Window.unboundedPreceding, -1)))
-    seeds = seeded.select("__g", "__m", F.explode("seeds").alias("s")).select("__g", "__m", F.col("s.__d").alias("__d"), F.col("s.__k").alias("__k"), F.col("s.__v").alias("__v"), F.lit(True).alias("seed"))
-    rows = df.filter(F.col(date).isNotNull()).select(*by, month.alias("__m"), F.col(date).alias("__d"), F.col(key).cast("long").alias("__k"), F.col(value).cast("double").alias("__v"), F.lit(False).alias("seed"))
-    every = rows.unionByName(seeds)
+    by_month = Window.partitionBy("__g").orderBy("__m")
+    filled = tail_rows.withColumn("upto", F.slice(F.reverse(F.array_sort(F.flatten(F.collect_list("tail").over(by_month.rowsBetween(-n, 0))))), 1, n))
+    before_month = by_month.rowsBetween(Window.unboundedPreceding, -1)
+    seeded = months.join(filled.select("__g", "__m", "upto"), ["__g", "__m"], "left").withColumn("seeds", F.last("upto", ignorenulls=True).over(before_month))
+    seeds = seeded.select("__g", "__m", F.explode("seeds").alias("s")).select("__g", "__m", "s.*", F.lit(None).cast(df.select(F.struct("*").alias("x")).schema["x"].dataType).alias("__row"))
+    every = df.filter(F.col(date).isNotNull()).select(*at, *own, F.struct("*").alias("__row")).union(seeds)
     order = Window.partitionBy("__g", "__m", F.col("__v").isNotNull()).orderBy("__d", "__k").rowsBetween(-(n - 1), 0)
     running = every.withColumn("__a", F.when(F.col("__v").isNotNull(), F.avg("__v").over(order)))
     before = Window.partitionBy("__g", "__m").orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, -1)
     if strict_date:
         before = Window.partitionBy("__g", "__m").orderBy(F.datediff("__d", F.lit("1970-01-01"))).rangeBetween(Window.unboundedPreceding, -1)
-    means = running.withColumn(out, F.last("__a", ignorenulls=True).over(before)).filter(~F.col("seed")).select(F.col("__k").alias(key), out)
-    return df.join(means, key, "left")
+    means = running.withColumn(out, F.last("__a", ignorenulls=True).over(before)).filter("__row is not null").select("__row.*", out)
+    return means.union(df.filter(F.col(date).isNull()).withColumn(out, F.lit(None).cast("double")))
 
 
 def with_temperature(df: DataFrame, value: str = "open_return_pct", sector: str = "sector_name") -> DataFrame:
     """Mean of the last 10 known returns, and of the last 5 in the sector (else, or without a sector, the former)."""
-    both = recent_mean(df, value, 10, "recent_ipo_avg_return_all")
-    own = recent_mean(both, value, 5, "recent_ipo_avg_return_sector", group=sector)
+    rows = stored(df, "returns")
+    both = recent_mean(rows, value, 10, "recent_ipo_avg_return_all")
+    own = recent_mean(both, value, 5, "recent_ipo_avg_return_sector", group=sector, known=rows)
     fallback = F.col("recent_ipo_avg_return_all")
     return own.withColumn("recent_ipo_avg_return_sector", F.when(F.col(sector).isNull(), fallback).otherwise(F.coalesce("recent_ipo_avg_return_sector", fallback)))

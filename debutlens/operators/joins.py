@@ -16,7 +16,9 @@ def by_clean_name(filings: DataFrame, listings: DataFrame, name: str = "corp_nam
 
 
 def with_prices(listings: DataFrame, prices: DataFrame) -> DataFrame:
-    return listings.join(prices, ["ticker", "listing_date"], "left")
+    """Listings with the prices of their first day; one price row per listing at most, absent ones are NULL."""
+    day = prices.groupBy("ticker", "listing_date").agg(F.min(F.struct(*[c for c in prices.columns if c not in ("ticker", "listing_date")])).alias("__p"))
+    return listings.join(day, ["ticker", "listing_date"], "left").select(*listings.columns, "__p.*")
 
 
 def with_sector(listings: DataFrame, sectors: DataFrame, key: str = "ticker", default: str | None = None) -> DataFrame:
@@ -24,12 +26,25 @@ def with_sector(listings: DataFrame, sectors: DataFrame, key: str = "ticker", de
     return out.fillna({"sector_name": default}) if default else out
 
 
+def master_with(master: DataFrame, features: DataFrame, predictions: DataFrame | None = None, key: str = "ipo_id") -> DataFrame:
+    """Master rows (keyed by id) with their features, one at most, and with their predictions, any number."""
+    out = master.withColumnRenamed("id", key).join(features, key, "left")
+    return out if predictions is None else out.join(predictions, key, "left")
+
+
 def nearest_demand(filings: DataFrame, demand: DataFrame) -> DataFrame:
-    """Each filing with its company's first demand filing on or after its date."""
-    d = demand.select("corp_code", F.col("rcept_dt").alias("demand_dt"), F.struct(*[c for c in demand.columns if c not in ("corp_code", "rcept_dt")]).alias("demand"))
-    pairs = filings.join(d, (filings["corp_code"] == d["corp_code"]) & (d["demand_dt"] >= filings["rcept_dt"])).drop(d["corp_code"])
-    best = pairs.groupBy("rcept_no").agg(F.min_by(F.struct("demand_dt", "demand"), "demand_dt").alias("__d"))
-    return filings.join(best, "rcept_no", "left").select(*filings.columns, F.col("__d.demand_dt").alias("demand_dt"), F.col("__d.demand.*"))
+    """Each filing with its company's first demand filing on or after its date (of one date, the least by its columns).
+
+    Both lie in one run per company, newest first, and the last demand filing passed is carried to the filings.
+    """
+    own = [c for c in demand.columns if c not in ("corp_code", "rcept_dt")]
+    d = demand.select("corp_code", F.col("rcept_dt").alias("__at"), F.struct(F.col("rcept_dt").alias("demand_dt"), *own).alias("__d"), F.lit(None).cast(filings.select(F.struct("*").alias("x")).schema["x"].dataType).alias("__f"))
+    f = filings.select("corp_code", F.col("rcept_dt").alias("__at"), F.lit(None).cast(d.schema["__d"].dataType).alias("__d"), F.struct("*").alias("__f"))
+    run = Window.partitionBy("corp_code").orderBy(F.desc("__at"), F.col("__f").isNotNull(), F.desc("__d")).rowsBetween(Window.unboundedPreceding, 0)
+    both = f.union(d.filter("__at is not null")).withColumn("__d", F.last("__d", ignorenulls=True).over(run)).filter("__f is not null")
+    # filings without a company or a date match nothing
+    found = F.when(F.col("corp_code").isNotNull() & F.col("__at").isNotNull(), F.col("__d"))
+    return both.withColumn("__d", found).select("__f.*", *[F.col(f"__d.{c}").alias(c) for c in ("demand_dt", *own) if c not in filings.columns])
 
 
 def walk_windows(df: DataFrame, date: str = "listing_date", *, first_days: int = 3 * 365, valid_days: int = 180, step_days: int = 90, min_train: int = 20, min_valid: int = 5) -> DataFrame:
@@ -51,9 +66,29 @@ def validation_rows(df: DataFrame, windows: DataFrame, date: str = "listing_date
     return df.join(F.broadcast(windows), (F.col(date) >= F.col("split")) & (F.col(date) < F.col("valid_end")))
 
 
+def with_rank(df: DataFrame, order: list[str]) -> DataFrame:
+    """Adds __rank, from 0 by `order`, whose first column is a date: rows are ranked within dates, and dates by a table
+    of rows per date (a calendar's size). Rows without a date come first."""
+    days = df.groupBy(F.col(order[0]).alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(F.col("__day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    base = days.select("__day", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    own = F.row_number().over(Window.partitionBy(order[0]).orderBy(*order[1:] or order)) - 1
+    return df.withColumn("__own", own).join(base, F.col(order[0]).eqNullSafe(F.col("__day"))).withColumn("__rank", F.col("__own") + F.col("__base")).drop("__own", "__base", "__day")
+
+
 def chronological_tail(df: DataFrame, k: int, order: list[str]) -> DataFrame:
-    """Adds is_tail for the last k rows by `order`: the cut is a top-k, rows are then compared with it."""
-    if k <= 0:
-        return df.withColumn("is_tail", F.lit(False))
-    cut = df.select(F.struct(*order).alias("__cut")).orderBy(F.desc("__cut")).limit(k).agg(F.min("__cut").alias("__cut"))
-    return df.join(F.broadcast(cut)).withColumn("is_tail", F.struct(*order) >= F.col("__cut")).drop("__cut")
+    """Adds is_tail for the last k rows by `order`, whose first column is a date; rows without one are never among them.
+
+    Rows per date (a calendar's size) tell the day of the cut; the cut is a top-k within that day alone.
+    """
+    date = order[0]
+    days = df.filter(F.col(date).isNotNull()).groupBy(F.col(date).alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
+    later = Window.orderBy(F.desc("__day")).rowsBetween(Window.unboundedPreceding, 0)
+    cut = days.withColumn("__upto", F.sum("__n").over(later)).filter(F.col("__upto") >= k).orderBy(F.desc("__day")).first() if k > 0 else None
+    if k <= 0 or cut is None:
+        return df.withColumn("is_tail", F.lit(k > 0) & F.col(date).isNotNull())
+    left = k - (cut["__upto"] - cut["__n"])
+    day = df.filter(F.col(date) == F.lit(cut["__day"])).select(F.struct(*order).alias("__cut"))
+    first = day.orderBy(F.desc("__cut")).limit(left).agg(F.min("__cut").alias("__cut"))
+    last = F.coalesce(F.struct(*order) >= F.col("__cut"), F.lit(False)) & F.col(date).isNotNull()
+    return df.join(F.broadcast(first)).withColumn("is_tail", last).drop("__cut")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def _pair(old: DataFrame, new: DataFrame, keys: list[str]):
-    a = old.select(*keys, F.struct("*").alias("__a"))
-    b = new.select(*keys, F.struct("*").alias("__b"))
-    return a.join(b, keys, "full")
+    """Old and new rows by key. A key that new rows repeat is an error when the table is read: take the `latest` first."""
+    once = new.groupBy(*keys).agg(F.first(F.struct(*[c for c in new.columns if c not in keys], F.lit(0))).alias("__v"), F.count(F.lit(1)).alias("__n"))
+    told = F.when(F.col("__n") > 1, F.raise_error(F.lit("new rows repeat a key"))).otherwise(F.struct(*keys, *[F.col(f"__v.{c}").alias(c) for c in new.columns if c not in keys]))
+    return old.select(*keys, F.struct("*").alias("__a")).join(once.select(*keys, told.alias("__b")), keys, "full")
 
 
 def upsert_known(old: DataFrame, new: DataFrame, keys: list[str] = ["corp_code"], stamp: str | None = None) -> DataFrame:  # noqa: B006
@@ -30,12 +31,19 @@ def upsert_given(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def resolve(predictions: DataFrame, actuals: DataFrame, key: str = "ipo_id") -> DataFrame:
-    """Fills actual, error and direction of predictions whose outcome is known."""
+    """Fills actual, error and direction of predictions whose outcome is known, and when that was (resolved_at, if not before)."""
     known = actuals.select(key, F.col("actual").alias("__y"))
-    out = predictions.drop("actual", "error", "direction_correct").join(known, key, "left").withColumn("actual", F.col("__y"))
+    then = F.col("resolved_at") if "resolved_at" in predictions.columns else F.lit(None).cast("timestamp")
+    out = predictions.withColumn("resolved_at", then).drop("actual", "error", "direction_correct").join(known, key, "left").withColumn("actual", F.col("__y"))
+    out = out.withColumn("resolved_at", F.when(F.col("__y").isNotNull(), F.coalesce("resolved_at", F.current_timestamp())).otherwise(F.col("resolved_at")))
     return out.withColumns({"error": F.col("actual") - F.col("pred"), "direction_correct": (F.col("actual") > 0) == (F.col("pred") > 0)}).drop("__y")
 
 
+def resolve_master(master: DataFrame, actuals: DataFrame, key: str = "ipo_id", column: str = "open_return_pct") -> DataFrame:
+    """The master table with the returns that are known now."""
+    return upsert_known(master, actuals.select(F.col(key).alias("id"), F.col("actual").alias(column)), ["id"])
+
+
 def promote(registry: DataFrame, name: str, version: str) -> DataFrame:
     """Makes one model the only champion; fails if the registry lacks it."""
     target = (F.col("name") == name) & (F.col("version") == version)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .diagnostics import risk_grade
-from .joins import chronological_tail, walk_windows
+from ..sources.store import stored
+from .joins import chronological_tail, walk_windows, with_rank
 
 #: The reference settings of the trees.
 SETTINGS = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": 42}
@@ -46,9 +48,7 @@ class ReturnModel:
             out = self.classifier.transform(out).withColumn("up_prob", F.round(vector_to_array("__prob")[1], 4)).drop("__z", "__cls", "__raw", "__prob")
         else:
             out = out.withColumn("up_prob", F.when(F.col("__pred") > 0, 0.8).otherwise(0.2))
-        p = F.col("__pred")
-        out = out.withColumns({"pred": F.round(p, 2), "ci_90_low": F.round(p - self.q90, 2), "ci_90_high": F.round(p + self.q90, 2), "ci_50_low": F.round(p - self.q50, 2), "ci_50_high": F.round(p + self.q50, 2)})
-        return out.withColumn("risk_grade", risk_grade()).drop("__x", "__pred")
+        return finished(out, self.q50, self.q90).drop("__x", "__pred")
 
     def importance(self, spark: SparkSession, k: int = 15) -> DataFrame:
         weights = self.regressor.stages[-1].featureImportances.toArray().tolist()
@@ -77,19 +77,29 @@ class ReturnModel:
         return model
 
 
+def finished(scored: DataFrame, q50: float, q90: float) -> DataFrame:
+    """Adds pred, the intervals around the unrounded __pred, and the grade of the rounded values."""
+    p = F.col("__pred")
+    ends = {"ci_90_low": p - q90, "ci_90_high": p + q90, "ci_50_low": p - q50, "ci_50_high": p + q50}
+    return scored.withColumns({"pred": F.round(p, 2)} | {k: F.round(c, 2) for k, c in ends.items()}).withColumn("risk_grade", risk_grade())
+
+
 def top_importance(table: DataFrame, k: int) -> DataFrame:
-    """The k greatest, with their share in percent of those k."""
+    """The k greatest, with their share in percent of those k; 0 where all are 0, as of trees without a split."""
     top = table.orderBy(F.desc("importance"), "feature").limit(k)
-    return top.withColumn("importance_pct", F.round(100 * F.col("importance") / F.sum("importance").over(Window.partitionBy()), 2))
+    share = F.try_divide(100 * F.col("importance"), F.sum("importance").over(Window.partitionBy()))
+    return top.withColumn("importance_pct", F.round(F.coalesce(share, F.lit(0.0)), 2))
 
 
 def cross_validate(rows: DataFrame, features: list[str], target: str, order: list[str], folds: int = 5, **settings) -> DataFrame:
-    """Mean and deviation of the mean absolute error over consecutive folds in order of `order`."""
-    numbered = rows.filter(F.col(target).isNotNull())
-    parts = numbered.withColumn("__o", F.struct(*order))
-    fold = F.ntile(folds).over(Window.orderBy("__o")) - 1  # one small table of keys
-    keyed = parts.select("__o").withColumn("__f", fold)
-    parts = parts.join(keyed, "__o").drop("__o")
+    """Mean and deviation of the mean absolute error over consecutive folds in order of `order`, a date first."""
+    ranked = with_rank(rows.filter(F.col(target).isNotNull()), order)
+    total = ranked.count()
+    # as ntile does: the first folds have one row more
+    size, more = divmod(total, folds)
+    first = F.floor(F.col("__rank") / F.lit(size + 1))
+    fold = F.when(F.col("__rank") < more * (size + 1), first).otherwise(more + F.floor((F.col("__rank") - more * (size + 1)) / F.lit(max(size, 1))))
+    parts = stored(ranked.withColumn("__f", fold.cast("int")).drop("__rank"), "folds")
     errors = []
     for f in range(folds):
         model = ReturnModel(features, target, **settings).fit(parts.filter(F.col("__f") != f))
@@ -110,10 +120,17 @@ def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_re
     Each window trains on the rows before its split: NULLs take the slice's medians, the last 15 % (5 at least)
     calibrate. Windows are a few dozen and run from a small pool of threads; a failed window is left out.
     """
-    known = rows.filter(F.col(target).isNotNull())
+    known = stored(rows.filter(F.col(target).isNotNull()), "known-rows")
     table = walk_windows(known, date, **(windows or {})).orderBy("window").collect()  # a few dozen dates
 
     def run(w) -> DataFrame | None:
+        try:
+            return one(w)
+        except Exception:  # noqa: BLE001
+            logging.getLogger(__name__).exception("window %s is left out", w["window"])
+            return None
+
+    def one(w) -> DataFrame:
         train = known.filter(F.col(date) < F.lit(w["split"]))
         valid = known.filter((F.col(date) >= F.lit(w["split"])) & (F.col(date) < F.lit(w["valid_end"])))
         medians = train.agg(*[F.median(c).alias(c) for c in features]).first().asDict()

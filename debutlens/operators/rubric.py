@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 #: sectors' median PER and PBR, with the last row for any other sector.
 SECTOR_MEDIANS = [("IT", 28.0, 3.5), ("바이오", 45.0, 5.0), ("제조", 12.0, 1.1), ("소비재", 18.0, 2.0), ("금융", 10.0, 0.7), ("화학", 11.0, 1.0), ("에너지", 9.0, 0.9), ("건설", 8.0, 0.8), ("통신", 14.0, 1.5), ("유통", 15.0, 1.2), ("기타", 16.0, 1.3)]
 OTHER = SECTOR_MEDIANS[-1]
-EV_EBITDA_MEDIAN = None
 WEIGHTS = {"valuation": 0.40, "growth": 0.30, "profitability": 0.20, "stability": 0.10}
 INPUTS = ["revenue_t0", "revenue_t1", "revenue_t2", "operating_income_t0", "operating_income_t1", "operating_income_t2", "net_income_t0", "total_liabilities", "equity", "eps", "ebitda", "interest_expense", "offering_price", "total_shares"]
 
@@ -22,6 +21,14 @@ def cagr(newest: Column, oldest: Column, years: int = 2) -> Column:
     return F.when((newest > 0) & (oldest > 0), F.round(F.pow(newest / oldest, F.lit(1 / years)) - 1, 4))
 
 
+def total_score(scores: dict[str, Column]) -> Column:
+    return F.round(sum((scores[k] * w for k, w in WEIGHTS.items()), F.lit(0.0)), 1)
+
+
+def grade(total: Column) -> Column:
+    return F.when(total >= 75, "A").when(total >= 60, "B").when(total >= 45, "C").otherwise("D")
+
+
 def rubric(df: DataFrame, sectors: DataFrame | None = None, legacy_cagr: bool = False) -> DataFrame:
     """Adds the blocks, scores, total and grade; rows without price or shares carry analysis_error.
 
@@ -70,8 +77,7 @@ def rubric(df: DataFrame, sectors: DataFrame | None = None, legacy_cagr: bool =
         "profitability_score": score(50 + z(F.col("operating_margin") * 100) + z(F.col("roe") * 50) - F.when(F.col("is_profitable"), 0.0).otherwise(20.0)),
         "stability_score": score(70 - z(F.least(F.lit(30.0), F.col("debt_to_equity") * 10)) + z(F.when(F.col("interest_coverage") > 0, F.least(F.lit(20.0), F.col("interest_coverage") * 2)))),
     })
-    total = F.round(sum((F.col(f"{k}_score") * w for k, w in WEIGHTS.items()), F.lit(0.0)), 1)
-    d = d.withColumn("total_score", total).withColumn("grade", F.when(F.col("total_score") >= 75, "A").when(F.col("total_score") >= 60, "B").when(F.col("total_score") >= 45, "C").otherwise("D"))
+    d = d.withColumn("total_score", total_score({k: F.col(f"{k}_score") for k in WEIGHTS})).withColumn("grade", grade(F.col("total_score")))
     return d.withColumn("analysis_error", F.col("offering_price").isNull() | F.col("total_shares").isNull()).drop("__s", "__per", "__pbr")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import band_exceeded, lockup_weighted_score
+from .keyed_tables import upsert_given
 
 #: Required fields, allowed ranges and the defaults of absent core fields.
 REQUIRED = ("institutional_demand_ratio", "lockup_6m_ratio", "offering_price_band_position")
@@ -29,11 +32,37 @@ def validate(requests: DataFrame) -> DataFrame:
 
 
 def complete(requests: DataFrame, features: list[str], fill_mode: str = "zero", imputer=None, keep: list[str] | None = None) -> DataFrame:
-    """Accepted requests as model input: defaults, derived columns, and fills by `zero` or the fitted `catalog` imputer."""
+    """Accepted requests as model input: defaults, derived columns, and fills by `zero`, by the `median` of the batch's
+    known values, or by the fitted `catalog` imputer."""
     have = set(requests.columns)
     rows = requests.withColumns({c: F.coalesce(F.col(c), F.lit(v)) if c in have else F.lit(v) for c, v in DEFAULTS.items()})
     rows = rows.withColumns({"lockup_weighted_score": lockup_weighted_score(), "band_exceeded": band_exceeded(F.col("offering_price_band_position"))})
     if fill_mode == "catalog":
         return imputer.transform(rows, keep)
-    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in rows.columns else F.lit(0.0)
+    here = [c for c in features if c in rows.columns]
+    medians = rows.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in here]).first().asDict() if fill_mode == "median" and here else {}
+    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c) or 0.0)) if c in here else F.lit(0.0)
     return rows.select(*(keep or []), *[value(c).alias(c) for c in features])
+
+
+def one_batch(*requests: DataFrame) -> DataFrame:
+    """All requests as one table; columns that some lack are NULL there."""
+    out = requests[0]
+    for more in requests[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+def score_batch(requests: DataFrame, predict: Callable[[DataFrame], DataFrame], features: list[str], *, key: str = "ipo_id", fill_mode: str = "zero", imputer=None) -> tuple[DataFrame, DataFrame]:
+    """Scored rows of the accepted requests (model output and weighted_score), and the rejected ones with their violations."""
+    judged = validate(requests)
+    accepted, rejected = judged.filter(F.size("violations") == 0), judged.filter(F.size("violations") > 0)
+    scored = predict(complete(accepted, features, fill_mode, imputer, [key]))
+    weighted = complete(accepted, ["lockup_weighted_score"], keep=[key]).select(key, F.round("lockup_weighted_score", 3).alias("weighted_score"))
+    return scored.join(weighted, key), rejected.select(key, "violations")
+
+
+def log_predictions(log: DataFrame, scored: DataFrame, name: str, version: str, key: str = "ipo_id") -> DataFrame:
+    """The log's next version: one row per listing, model and version, newer ones overwrite."""
+    rows = scored.withColumns({"model_name": F.lit(name), "model_version": F.lit(version)})
+    return upsert_given(log, rows.select(*[c for c in log.columns if c in rows.columns]), [key, "model_name", "model_version"])

@@ -9,6 +9,7 @@ from ..functions import extract
 from ..functions.cleaning import clean_name, number
 from ..operators import catalog, diagnostics, features, joins, keyed_tables, model, rubric, scoring
 from ..sources import tables
+from ..sources.store import stored
 from . import proxies as P
 
 QUERIES, SQL = {}, {}
@@ -51,9 +52,20 @@ def listing_momentum(spark, d):
     return rows.drop("listing_date")
 
 
-@query("SELECT listing_id, corp_name, listing_date, round(ret, 4) AS open_return_pct, abs(ret) > 5 AS extreme FROM p_listings WHERE ret IS NOT NULL")
+@query("SELECT listing_id, corp_name, listing_date, round(ret, 4) AS open_return_pct, abs(ret) > 200 AS extreme, abs(ret) > 5 AS far FROM p_listings WHERE ret IS NOT NULL")
 def listing_targets(spark, d):
-    return returns(spark, d).filter("open_return_pct is not null").select("listing_id", "corp_name", "listing_date", F.round("open_return_pct", 4).alias("open_return_pct"), (F.abs("open_return_pct") > 5).alias("extreme"))
+    known = returns(spark, d).filter("open_return_pct is not null")
+    marks = (features.extreme_return().alias("extreme"), features.extreme_return(5.0).alias("far"))
+    return known.select("listing_id", "corp_name", "listing_date", F.round("open_return_pct", 4).alias("open_return_pct"), *marks)
+
+
+@query("""
+, far AS (SELECT corp_name, abs(ret) AS v FROM p_listings WHERE abs(ret) > 6)
+SELECT count(*)::BIGINT AS n, (SELECT string_agg(corp_name, '|' ORDER BY v DESC, corp_name DESC) FROM (SELECT * FROM far ORDER BY v DESC, corp_name LIMIT 5)) AS names FROM far
+""")
+def extreme_returns(spark, d):
+    """Returns beyond 6 percent points either way: no price of these tables moves by 200."""
+    return features.extreme_report(returns(spark, d), 6.0).select("n", F.concat_ws("|", "names").alias("names"))
 
 
 @query("SELECT count(ret)::BIGINT AS n, round(avg(ret), 4) AS mean, round(median(ret), 4) AS median, round(stddev_samp(ret), 4) AS std, round(avg((ret > 0)::INTEGER), 4) AS positive_share FROM p_listings")
@@ -217,16 +229,35 @@ def conformal_quantiles(spark, d):
     return diagnostics.conformal_quantiles(P.predictions(spark, d))
 
 
-def caused(spark, d) -> DataFrame:
-    """Outliers with context of the same day: error events stand for loose floats, purchases for hot sectors."""
+def event_index(spark, d) -> DataFrame:
+    """The mean value of each day's errors as an index, half up to 4 places, in whole cents."""
+    errors = P.table(spark, d, "events").filter("event_type = 'error'").groupBy(F.col("ts").cast("date").alias("date"))
+    cents = errors.agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("s"), F.count("value").alias("n"))
+    return cents.select(F.lit("KOSPI").alias("index_code"), "date", (F.expr("(200 * s + n) div (2 * n)") / 10000).alias("close"))
+
+
+def event_context(spark, d) -> DataFrame:
+    """Context of the events' listings: a user's events of a day as listings of a day, and ratios by type."""
+    e = P.table(spark, d, "events").select(F.col("event_id").alias("listing_id"), F.concat_ws(" ", "user_id", F.col("ts").cast("date")).alias("user_day"), "event_type", F.round(F.col("value") - 50, 4).alias("v"))
     kind = F.col("event_type")
-    rows = diagnostics.outliers(P.predictions(spark, d))
-    return diagnostics.with_cause(rows.withColumns({"float_share_ratio": F.when(kind == "error", 0.7), "recent_ipo_avg_return_sector": F.when(kind == "purchase", F.col("actual")), "secondary_offering_ratio": F.when(kind == "click", 0.6)}))
+    ratios = {"float_share_ratio": F.when(kind == "error", 0.7), "recent_ipo_avg_return_sector": F.when(kind == "purchase", F.col("v")), "secondary_offering_ratio": F.when(kind == "click", 0.6)}
+    return features.with_same_day_count(e.withColumns(ratios), "user_day")
+
+
+def caused(spark, d) -> DataFrame:
+    """Outliers with the context of their listings and of the index, and their causes."""
+    rows = diagnostics.with_listing_context(diagnostics.outliers(P.predictions(spark, d)), event_context(spark, d))
+    return diagnostics.with_cause(diagnostics.with_index_context(rows, event_index(spark, d)))
 
 
 CAUSES = """
 , x AS (SELECT p.*, actual - pred AS error, e / s AS error_sigma FROM p_pred p, (SELECT stddev_samp(e) AS s FROM p_pred) WHERE e / s >= 2 AND e >= 15),
-  k AS (SELECT *, CASE WHEN event_type = 'error' THEN 'B_supply' WHEN event_type = 'purchase' AND abs(actual) > 50 THEN 'C_sector' WHEN event_type = 'click' THEN 'D_structure' ELSE 'E_unknown' END AS cause FROM x)
+  ec AS (SELECT ts::DATE AS date, ((200 * sum(round(value * 100)::BIGINT) + count(value)) // (2 * count(value)))::DOUBLE / 10000 AS close FROM events WHERE event_type = 'error' GROUP BY 1),
+  em AS (SELECT date, coalesce(round(close / lag(close, 5) OVER w - 1, 6), 0.0) AS m5, coalesce(round(close / lag(close, 20) OVER w - 1, 6), 0.0) AS m20 FROM ec WINDOW w AS (ORDER BY date)),
+  crowd AS (SELECT event_id AS listing_id, count(*) OVER (PARTITION BY user_id, ts::DATE) AS same_day FROM events),
+  k AS (SELECT x.*, CASE WHEN m20 < -0.08 THEN 'A_market' WHEN m5 < -0.04 THEN 'A_market' WHEN same_day >= 4 THEN 'B_supply' WHEN event_type = 'error' THEN 'B_supply'
+    WHEN event_type = 'purchase' AND abs(actual) > 50 THEN 'C_sector' WHEN event_type = 'click' THEN 'D_structure' ELSE 'E_unknown' END AS cause
+    FROM x JOIN crowd USING (listing_id) ASOF LEFT JOIN em ON x.listing_date > em.date)
 """
 
 
@@ -240,7 +271,14 @@ def cause_counts(spark, d):
     return diagnostics.cause_counts(caused(spark, d))
 
 
-@query()
+RULES = ", ".join(f"('{c}', {i}, '{x}')" for c, own in diagnostics.RECOMMENDED.items() for i, x in enumerate(own))
+
+
+@query(CAUSES + f"""
+, rules AS (SELECT * FROM (VALUES {RULES}) AS t(cause, place, suggestion)), n AS (SELECT cause, count(*) AS n FROM k GROUP BY 1),
+  l AS (SELECT cause, suggestion, split_part(suggestion, ' ', 1) AS token, row_number() OVER (ORDER BY n DESC, cause, place) AS r FROM n JOIN rules USING (cause) WHERE n >= 0.2 * (SELECT sum(n) FROM n))
+SELECT (row_number() OVER (ORDER BY r))::INTEGER AS rank, cause, suggestion FROM l QUALIFY row_number() OVER (PARTITION BY token ORDER BY r) = 1
+""")
 def feature_recommendations(spark, d):
     return diagnostics.recommendations(caused(spark, d), 0.2)
 
@@ -279,11 +317,26 @@ def upserted_features(spark, d):
     return keyed_tables.upsert_given(old, new, ["corp_code"])
 
 
-@query("SELECT listing_id AS ipo_id, pred, CASE WHEN l.ret IS NOT NULL THEN round(l.ret, 4) END AS actual, round(round(l.ret, 4) - pred, 4) AS error, (round(l.ret, 4) > 0) = (pred > 0) AS direction_correct FROM p_pred p LEFT JOIN (SELECT listing_id, ret FROM p_listings WHERE ret IS NOT NULL) l USING (listing_id)")
+def actuals(spark, d) -> DataFrame:
+    return returns(spark, d).filter("open_return_pct is not null").select(F.col("listing_id").alias("ipo_id"), F.round("open_return_pct", 4).alias("actual"))
+
+
+@query("""
+SELECT listing_id AS ipo_id, pred, round(l.ret, 4) AS actual, round(round(l.ret, 4) - pred, 4) AS error, (round(l.ret, 4) > 0) = (pred > 0) AS direction_correct, l.ret IS NOT NULL AS resolved
+FROM p_pred p LEFT JOIN (SELECT listing_id, ret FROM p_listings WHERE ret IS NOT NULL) l USING (listing_id)
+""")
 def resolved_predictions(spark, d):
-    known = returns(spark, d).filter("open_return_pct is not null").select(F.col("listing_id").alias("ipo_id"), F.round("open_return_pct", 4).alias("actual"))
-    out = keyed_tables.resolve(P.predictions(spark, d).select(F.col("listing_id").alias("ipo_id"), "pred"), known)
-    return out.select("ipo_id", "pred", "actual", F.round("error", 4).alias("error"), "direction_correct")
+    out = keyed_tables.resolve(P.predictions(spark, d).select(F.col("listing_id").alias("ipo_id"), "pred"), actuals(spark, d))
+    return out.select("ipo_id", "pred", "actual", F.round("error", 4).alias("error"), "direction_correct", F.col("resolved_at").isNotNull().alias("resolved"))
+
+
+@query("""
+SELECT coalesce(o.id, l.listing_id) AS id, o.corp_name, coalesce(round(l.ret, 4), o.old) AS open_return_pct
+FROM (SELECT event_id AS id, user_id::VARCHAR AS corp_name, 0.5::DOUBLE AS old FROM events) o FULL JOIN (SELECT listing_id, ret FROM p_listings WHERE ret IS NOT NULL) l ON o.id = l.listing_id
+""")
+def resolved_master(spark, d):
+    master = P.table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("corp_name"), F.lit(0.5).alias("open_return_pct"))
+    return keyed_tables.resolve_master(master, actuals(spark, d))
 
 
 def registry(spark, d):
@@ -342,20 +395,6 @@ def page_texts(spark, d):
     return P.table(spark, d, "pages").select("page_id", F.length(text).alias("n_chars"), F.sha2(text.cast("binary"), 256).alias("text_sha256"))
 
 
-@query("""
-SELECT listing_id, floor(price_band_low)::BIGINT AS price_band_low, floor(price_band_high)::BIGINT AS price_band_high, floor(offering_price)::BIGINT AS offering_price, floor(coalesce(new_shares, 0))::BIGINT AS new_shares,
-  floor(coalesce(secondary_shares, 0))::BIGINT AS secondary_shares, NULL::BIGINT AS total_post_listing_shares, NULL::VARCHAR AS lead_underwriter, NULL::DATE AS listing_date, NULL::INTEGER AS major_shareholder_lockup_months,
-  NULL::INTEGER AS risk_factor_count, true AS parse_success FROM p_offer
-""")
-def filing_fields(spark, d):
-    """The fields of a filing read from texts that Spark makes of offers, one per order."""
-    whole = lambda c: F.format_number(F.floor(F.coalesce(F.col(c), F.lit(0.0))).cast("long"), 0)
-    html = F.concat(F.lit("<p>희망 공모가액 "), whole("price_band_low"), F.lit(" ~ "), whole("price_band_high"), F.lit(" 원</p><p>확정&nbsp;공모가 "), whole("offering_price"), F.lit(" 원</p> 신주모집 "), whole("new_shares"), F.lit(" 주 구주매출 "), whole("secondary_shares"), F.lit(" 주"))
-    text = extract.plain_text(html)
-    texts = P.offers(spark, d).select("listing_id", text.alias("text"))
-    return texts.select("listing_id", *[c.alias(k) for k, c in extract.offering_fields(F.col("text")).items()])
-
-
 @query("""
 , t AS (SELECT listing_id, ret, row_number() OVER (ORDER BY listing_date DESC, listing_id DESC) <= 100 AS is_tail FROM p_listings)
 SELECT is_tail, count(*)::BIGINT AS n, round(avg(ret), 4) AS mean_return FROM t GROUP BY 1
@@ -381,7 +420,7 @@ def model_rows(spark, d):
 @query()
 def scored_listings(spark, d):
     """A final model with few rounds: trained on all listings with a known return, it scores every listing."""
-    rows = model_rows(spark, d).cache()
+    rows = stored(model_rows(spark, d), "model-rows")
     fitted = model.final_model(rows, MODEL_FEATURES, "open_return_pct", ["listing_date", "listing_id"], maxIter=5, maxDepth=3)
     scored = fitted.predict(rows.fillna(0.0, MODEL_FEATURES))
     return fitted.explain(scored, 3).select("listing_id", "pred", "up_prob", "ci_90_low", "ci_90_high", "risk_grade", "top_features")

@@ -15,6 +15,11 @@ SCHEMAS = {
     "listing_prices": "ticker string, listing_date date, open_price double, close_price double, high_price double, low_price double, volume double",
     "index_close": "index_code string, date date, close double",
     "ipo_predictions": "listing_id long, listing_date date, corp_name string, actual double, offering_price long, pred double, up_prob double, ci_90_low double, ci_90_high double, ci_50_low double, ci_50_high double, risk_grade string, error double, abs_error double, window int",
+    "offerings": "rcept_no string, price_band_low long, price_band_high long, offering_price long, new_shares long, secondary_shares long, total_post_listing_shares long, lead_underwriter string, listing_date date, major_shareholder_lockup_months int, risk_factor_count int, parse_success boolean",
+    "demand": "rcept_no string, institutional_demand_ratio double, lockup_6m_ratio double, lockup_3m_ratio double, lockup_1m_ratio double, lockup_15d_ratio double, lockup_none_ratio double, parse_success boolean",
+    "model_registry": "name string, version string, mae double, direction_acc double, coverage_90 double, hyperparams map<string, string>, feature_names array<string>, status string, is_champion boolean, promoted_at timestamp, retired_at timestamp",
+    "backtest_results": "model_name string, model_version string, window_num int, train_end date, valid_end date, n_train long, n_valid long, mae double, direction_acc double, coverage_90 double",
+    "outlier_log": "ipo_id long, corp_name string, listing_date date, actual double, pred double, abs_error double, error_sigma double, cause string, cause_detail string, feature_hint array<string>, resolved boolean",
     "data_quality_log": "source string, check_name string, status string, detail string, n_records long, checked_at timestamp",
 }
 #: Account ids of statements and their names.
@@ -70,22 +75,46 @@ def index_series(raw: DataFrame) -> DataFrame:
 
 
 def statement_amounts(raw: DataFrame) -> DataFrame:
-    """Long accounts of statements; consolidated ones where a company's year has them, else separate ones."""
+    """Long accounts of statements; consolidated ones where a company's year (and report) has them, else separate ones."""
     from pyspark.sql import Window
 
     rank = F.when(F.col("fs_div") == "CFS", 0).otherwise(1)
-    best = F.min(rank).over(Window.partitionBy("corp_code", "year"))
+    report = [c for c in ("reprt_code",) if c in raw.columns]
+    best = F.min(rank).over(Window.partitionBy("corp_code", "year", *report))
     name = F.create_map(*[F.lit(x) for kv in ACCOUNTS.items() for x in kv])[F.col("account_id")]
     picked = raw.withColumn("best", best).filter(rank == F.col("best"))
     return picked.select("corp_code", "year", name.alias("account"), number(F.col("thstrm_amount")).alias("amount")).dropna()
 
 
+#: The columns of the outlier file.
+OUTLIER_COLUMNS = ("corp_name", "listing_date", "actual", "pred", "error", "sigma", "cause", "cause_detail", "feature_hint")
+
+
 def write_outliers_csv(outliers: DataFrame, path: str) -> None:
-    outliers.withColumn("feature_hint", F.concat_ws("|", "feature_hint")).write.mode("overwrite").option("header", True).csv(path)
+    """The nine columns of the outlier file, hints in one field."""
+    outliers.withColumn("sigma", F.col("error_sigma")).withColumn("feature_hint", F.concat_ws("|", "feature_hint")).select(*OUTLIER_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_table(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> None:
+    """A canonical table's Parquet: its columns and types, whatever else `df` holds. Logs are appended to."""
+    conform(df, schema(name)).write.mode(mode).parquet(path)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """The nested summary of a run as JSON, one object in one file."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def backfill(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """Equity filings received in the years from the first to the last."""
+    return filings(raw).filter(F.year("rcept_dt").between(first_year, last_year))
 
 
-def write_json(summary: DataFrame, path: str) -> None:
-    summary.write.mode("overwrite").json(path)
+def quality_log(statistics: DataFrame, source: str, most_missing_pct: float = 50.0) -> DataFrame:
+    """Feature statistics as rows of the quality log: a feature fails without values and warns past so many missing."""
+    status = F.when(F.col("n") == 0, "fail").when(F.col("missing_pct") > most_missing_pct, "warn").otherwise("pass")
+    detail = F.format_string("missing %.2f%%, zero %.2f%%", F.coalesce("missing_pct", F.lit(100.0)), F.coalesce("zero_pct", F.lit(0.0)))
+    return conform(statistics.select(F.lit(source).alias("source"), F.col("feature").alias("check_name"), status.alias("status"), detail.alias("detail"), F.col("n").alias("n_records"), F.current_timestamp().alias("checked_at")), schema("data_quality_log"))
 
 
 def calendar(raw: DataFrame) -> DataFrame:

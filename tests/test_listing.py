@@ -1,8 +1,10 @@
 """Hand-computed cases of the listing operators."""
 
 import datetime as dt
+import html
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,27 +26,31 @@ def test_cleaning_gives_null_for_bad_values(spark):
     assert r == (1250.5, None, None, None, None, "가나다")
 
 
-FILING = """<html><body>
-희망 공모가액 12,000 ~ 15,000 원
-확정&nbsp;공모가 16,000 원
-신주모집 1,200,000 주
-구주매출 300,000 주
-상장 후 총 발행주식수 10,000,000 주
-대표주관회사 한국투자증권
-상장 예정일 2025년 03월 10일
-최대주주 의무보유기간 2년 6개월
-투자위험요소 가. 시장위험 나. 영업위험 다. 재무위험
-</body></html>"""
+FILING = """<div><b>공모 개요</b><br/>
+희망공모가액 : 7,100&nbsp;～&nbsp;8,900 원 <i>확정 공모가</i>: 9,050원
+모집주식수 : 640,000주 (매출주식수 160,000 주)
+발행주식총수 3,200,000 주
+<td>인수회사</td> : 푸른&middot;바다 증권 외
+상장예정일 : 2031.7.4
+최대주주 등 보호예수 8개월, 최대주주 특수관계인 1년 6개월
+위험요소 1. 경기 2. 환율 ③ 원가 ④ 소송</div>"""
 
 
 def test_offering_filing_fields(spark):
     df = spark.createDataFrame([("1", FILING), ("2", ""), ("3", "상장 예정일 2025년 13월 40일 신주모집 ,,, 주")], "id string, html string").select("id", extract.plain_text(F.col("html")).alias("t"))
     rows = {r["id"]: r for r in df.select("id", *[c.alias(k) for k, c in extract.offering_fields(F.col("t")).items()]).collect()}
-    assert tuple(rows["1"])[1:] == (12000, 15000, 16000, 1200000, 300000, 10000000, "한국투자증권", D(2025, 3, 10), 30, 3, True)
+    assert tuple(rows["1"])[1:] == (7100, 8900, 9050, 640000, 160000, 3200000, "푸른·바다 증권", D(2031, 7, 4), 18, 4, True)
     assert tuple(rows["2"])[1:] == (None,) * 10 + (False,)
     assert rows["3"]["listing_date"] is None and rows["3"]["new_shares"] is None
 
 
+def test_plain_text_equals_the_standard_decoder(spark):
+    raw = ["<p>a &amp; b</p>", "&lt;x&gt; &copy; &#44032; &hellip;", None, "", " a\u00a0 \n b<br>c", "&nbsp;", "5 < 6 &unknown; &eacute"]
+    want = [None if t is None else re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", t))).strip() for t in raw]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(raw)], "i int, t string").orderBy("i").select(extract.plain_text(F.col("t")).alias("t")).collect()
+    assert [r["t"] for r in got] == want
+
+
 def test_demand_fields(spark):
     text = "경쟁률 1,250.5 : 1 합계 1,000,000 주 확약없음 400,000 주 15일 100,000 주 1개월 100,000 주 3개월 150,000 주 6개월 250,000 주"
     r = one(spark, *[c.alias(k) for k, c in extract.demand_fields(F.lit(text)).items()])
@@ -99,14 +105,15 @@ def test_imputer_leaves_no_nulls_and_keeps_bounds(spark):
 
 
 def test_rubric_of_two_companies(spark):
-    names = "revenue_t0 double, revenue_t1 double, revenue_t2 double, operating_income_t0 double, operating_income_t1 double, operating_income_t2 double, net_income_t0 double, total_liabilities double, equity double, eps double, offering_price double, total_shares double, sector string"
-    rows = [(50e9, 35e9, 22e9, 7e9, 4e9, 2e9, 5.5e9, 20e9, 60e9, 2750.0, 45000.0, 2e6, "IT"), (30e9, 29e9, 28.5e9, -0.5e9, 0.2e9, 0.3e9, -0.8e9, 25e9, 15e9, None, 8000.0, 5e6, "제조")]
+    names = "revenue_t0 double, revenue_t1 double, revenue_t2 double, operating_income_t0 double, operating_income_t1 double, operating_income_t2 double, net_income_t0 double, total_liabilities double, equity double, eps double, offering_price double, total_shares double, interest_expense double, sector string"
+    rows = [(1210.0, 1100.0, 1000.0, 121.0, 100.0, 100.0, 80.0, 200.0, 400.0, 4.0, 44.0, 10.0, 11.0, "화학"), (90.0, 100.0, 100.0, -9.0, 1.0, 2.0, -18.0, 500.0, 100.0, None, 13.0, 10.0, 3.0, "absent")]
     df = spark.createDataFrame(rows, names)
-    a, b = rubric.rubric(df).orderBy("sector").collect()
-    assert (a["per"], a["pbr"], a["ev_ebitda"], a["per_vs_sector"], a["pbr_vs_sector"], a["revenue_cagr"]) == (16.4, 1.5, 15.7, 0.58, 0.43, 0.5076)
-    assert (a["valuation_score"], a["growth_score"], a["profitability_score"], a["stability_score"], a["total_score"], a["grade"]) == (68.3, 100.0, 68.6, 66.7, 77.7, "A")
-    assert (b["per"], b["per_flag"], b["valuation_score"], b["growth_score"], b["profitability_score"], b["stability_score"], b["total_score"], b["grade"]) == (None, "deficit", 15.8, 54.3, 25.7, 53.3, 33.1, "D")
-    assert rubric.rubric(df, legacy_cagr=True).orderBy("sector").first()["revenue_cagr"] == -0.3367
+    b, a = rubric.rubric(df).orderBy("sector").collect()
+    assert (a["per"], a["pbr"], a["ev_ebitda"], a["per_vs_sector"], a["pbr_vs_sector"], a["revenue_cagr"], a["income_cagr"]) == (11.0, 1.1, 5.3, 1.0, 1.1, 0.1, 0.1)
+    assert (a["valuation_score"], a["growth_score"], a["profitability_score"], a["stability_score"], a["total_score"], a["grade"]) == (49.0, 65.0, 70.0, 85.0, 61.6, "B")
+    assert (b["per"], b["per_flag"], b["valuation_score"], b["growth_score"], b["profitability_score"], b["stability_score"], b["total_score"], b["grade"]) == (None, "deficit", 30.0, 39.9, 11.0, 40.0, 30.2, "D")
+    assert rubric.rubric(df, legacy_cagr=True).orderBy("sector").collect()[1]["revenue_cagr"] == -0.0909
+    assert [r["analysis_error"] for r in rubric.rubric(df.withColumn("total_shares", F.when(F.col("sector") == "화학", F.col("total_shares")))).orderBy("sector").collect()] == [True, False]
 
 
 def test_windows_never_train_on_validation(spark):
@@ -189,3 +196,78 @@ def test_model_round_trip(spark, tmp_path):
     assert sorted(map(tuple, fitted.predict(df).select("listing_id", "pred", "up_prob").collect())) == sorted(map(tuple, again.predict(df).select("listing_id", "pred", "up_prob").collect()))
     out = walk_forward(df, ["x"], windows={"first_days": 200, "valid_days": 90, "step_days": 90, "min_train": 20, "min_valid": 5}, maxIter=2, maxDepth=2)
     assert out.count() > 0 and out.agg(F.avg("abs_error")).first()[0] < 30
+
+
+def test_empty_tables_and_zeros_have_defined_results(spark):
+    from debutlens.operators import model
+
+    empty = spark.createDataFrame([], "actual double, pred double, window int")
+    r = diagnostics.error_distribution(empty).first()
+    assert (r["n"], r["mean"], r["within_1_sigma_pct"], r["e_0_5"]) == (0, None, None, 0)
+    assert diagnostics.run_summary(empty).first()["outlier_rate"] == 0.0
+    top = model.top_importance(spark.createDataFrame([("a", 0.0), ("b", 0.0)], "feature string, importance double"), 2)
+    assert [r["importance_pct"] for r in top.collect()] == [0.0, 0.0]
+    days = [("KOSPI", D(2024, 1, 1) + dt.timedelta(i), 0.0 if i == 1 else 5.0) for i in range(8)]
+    got = features.index_momentum(spark.createDataFrame(days, "index_code string, date date, close double"), (5,)).orderBy("date").collect()
+    assert [r["mom_5d"] for r in got][5:] == [0.0, 0.0, 0.0]
+
+
+def test_recent_mean_keeps_repeated_and_text_keys(spark):
+    rows = [("a", D(2024, 1, 1), 1.0), ("b", D(2024, 1, 2), 3.0), ("b", D(2024, 1, 2), 3.0), ("c", None, 5.0), ("d", D(2024, 2, 1), None)]
+    df = spark.createDataFrame(rows, "ticker string, listing_date date, v double")
+    got = features.recent_mean(df, "v", 2, "m", key="ticker").collect()
+    assert len(got) == 5 and {r["ticker"]: r["m"] for r in got if r["ticker"] != "b"} == {"a": None, "c": None, "d": 3.0}
+
+
+def test_repeated_new_keys_are_refused(spark):
+    old = spark.createDataFrame([("a", 1)], "k string, x int")
+    new = spark.createDataFrame([("b", 2), ("b", 3)], "k string, x int")
+    with pytest.raises(Exception, match="new rows repeat a key"):
+        keyed_tables.upsert_known(old, new, ["k"]).collect()
+    assert keyed_tables.upsert_given(old, keyed_tables.latest(new, ["k"], [F.desc("x")]), ["k"]).count() == 2
+
+
+def test_tails_and_ranks_equal_a_plain_sort(spark):
+    rng = random.Random(5)
+    rows = [(i, D(2020, 1, 1) + dt.timedelta(rng.randrange(12))) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, d date")
+    order = [i for i, d in sorted(rows, key=lambda x: (x[1] is not None, x[1], x[0]))]
+    assert [r["i"] for r in joins.with_rank(df, ["d", "i"]).orderBy("__rank").collect()] == order
+    for k in (0, 1, 7, 60, 500):
+        tail = {r["i"] for r in joins.chronological_tail(df, k, ["d", "i"]).filter("is_tail").collect()}
+        assert tail == set(order[1:][max(0, 60 - k):])
+
+
+def test_nearest_demand_breaks_ties_alike(spark):
+    f = spark.createDataFrame([("1", "a", D(2024, 1, 5)), ("2", "a", D(2024, 3, 1)), ("3", None, D(2024, 1, 1)), ("4", "b", None)], "rcept_no string, corp_code string, rcept_dt date")
+    d = spark.createDataFrame([("a", D(2024, 1, 5), 9), ("a", D(2024, 1, 5), 4), ("a", D(2024, 1, 1), 1), ("a", D(2024, 2, 1), 2), (None, D(2024, 2, 1), 3), ("b", D(2024, 1, 1), 5)], "corp_code string, rcept_dt date, n int")
+    got = {r["rcept_no"]: (r["demand_dt"], r["n"]) for r in joins.nearest_demand(f, d).collect()}
+    assert got == {"1": (D(2024, 1, 5), 4), "2": (None, None), "3": (None, None), "4": (None, None)}
+
+
+def test_a_failing_window_is_left_out(spark, monkeypatch):
+    from debutlens.operators import model
+
+    df = spark.createDataFrame([(i, D(2020, 1, 1) + dt.timedelta(5 * i), float(i % 3), float(i % 7) - 3) for i in range(100)], "listing_id long, listing_date date, x double, open_return_pct double")
+    fit, calls = model.ReturnModel.fit, []
+
+    def broken(self, *args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("no fit")
+        return fit(self, *args)
+
+    monkeypatch.setattr(model.ReturnModel, "fit", broken)
+    out = model.walk_forward(df, ["x"], threads=1, windows={"first_days": 200, "valid_days": 90, "step_days": 90, "min_train": 20, "min_valid": 5}, maxIter=1, maxDepth=1)
+    assert {r["window"] for r in out.select("window").distinct().collect()} == set(range(1, len(calls)))
+
+
+def test_files_of_a_run(spark, tmp_path):
+    rows = spark.createDataFrame([(1, D(2024, 1, 1), "a", 60.0, 1.0, 0), (2, D(2024, 1, 2), "b", 2.0, 1.0, 0)] + [(i, D(2024, 2, 1), "c", 1.0, 1.0, 1) for i in range(3, 30)], "listing_id int, listing_date date, corp_name string, actual double, pred double, window int")
+    rows = rows.withColumns({c: F.lit(0.0) for c in ("ci_90_low", "ci_90_high", "ci_50_low", "ci_50_high")})
+    causes = diagnostics.with_cause(diagnostics.outliers(rows))
+    tables.write_outliers_csv(causes, str(tmp_path / "o"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "o")).columns == list(tables.OUTLIER_COLUMNS)
+    tables.write_report(diagnostics.run_report(rows, causes), str(tmp_path / "r"))
+    report = json.loads(next((tmp_path / "r").glob("*.json")).read_text())
+    assert report["outliers"]["causes"] == {"E_unknown": 1} and report["backtest"]["n"] == 29 and report["by_year"][0]["year"] == 2024
