@@ -2,49 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The largest side, in rows, that is broadcast; beyond it the same join shuffles both sides.
-BROADCAST_ROWS = 200_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where none is set (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = path.get() if path.isDefined() else None
-    if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
+from ..sources.store import scratch, shared_dir, stored
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+__all__ = ["BROADCAST_ROWS", "scratch", "shared_dir", "small_side", "stored", "text_bytes"]
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes `df` as a table in the shared folder and reads it back."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: The largest side, in rows, that is broadcast; beyond it the same join shuffles both sides.
+BROADCAST_ROWS = 200_000
 
 
 def small_side(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks `df` for broadcast if its counted rows are within `most`, else leaves it to a shuffled join."""
+    """Marks `df` for broadcast if its counted rows (or values, where rows hold arrays) are within `most`, else leaves it
+    to a shuffled join."""
     n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= most else df
 
 
 def text_bytes(col: str) -> "F.Column":
     return F.coalesce(F.octet_length(F.col(col)), F.lit(0)).cast("long")
-
-
-def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
