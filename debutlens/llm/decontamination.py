@@ -18,10 +18,15 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def word_hashes(text: Column) -> Column:
-    """array<long>, a hash for each word, A-Z lower-cased (whole-ASCII words by the faster function)."""
+def lowered_words(text: Column) -> Column:
+    """array<string>, A-Z lower-cased (whole-ASCII words by the faster function)."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(F.when(F.length(w) == F.octet_length(w), F.lower(w)).otherwise(F.translate(w, UPPER, LOWER))))
+    return F.transform(words, lambda w: F.when(F.length(w) == F.octet_length(w), F.lower(w)).otherwise(F.translate(w, UPPER, LOWER)))
+
+
+def word_hashes(text: Column) -> Column:
+    """array<long>, a hash for each word."""
+    return F.transform(lowered_words(text), lambda w: F.xxhash64(w))
 
 
 def windows(hashes: str, size: int) -> Column:
@@ -45,17 +50,19 @@ FIRST_WORDS = 10_000
 
 
 class Benchmark:
-    """Item windows and fingerprints as stored tables: windows(w, len, first, items), grams(fp)."""
+    """Item windows and fingerprints as stored tables: windows(w, len, said, first, items), grams(fp)."""
 
     def __init__(self, items: DataFrame, id_col: str, text_col: str, window: int, gram: int):
-        rows = items.select(F.col(id_col).alias("item"), word_hashes(F.col(text_col)).alias("h")).filter(F.size("h") > 0)
+        texts = items.select(F.col(id_col).alias("item"), lowered_words(F.col(text_col)).alias("words")).filter(F.size("words") > 0)
+        rows = texts.select("item", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
         own = windows("h", window)
         for size in range(1, window):
             own = F.when(F.size("h") == size, windows("h", size)).otherwise(own)
         length = F.least(F.size("h"), F.lit(window))
         first = F.when(length < window, F.get("h", F.lit(0)))
-        cut = rows.select("item", length.alias("len"), first.alias("first"), F.explode_outer(own).alias("w")).filter("w is not null")
-        self.windows = stored(cut.groupBy("w", "len").agg(F.min("first").alias("first"), F.collect_set("item").alias("items")), "item-windows")
+        said = F.transform(own, lambda w, i: F.struct(w.alias("w"), F.array_join(F.slice("words", i + 1, length), " ").alias("said")))
+        cut = rows.select("item", length.alias("len"), first.alias("first"), F.explode_outer(said).alias("x")).select("item", "len", "first", "x.*").filter("w is not null")
+        self.windows = stored(cut.groupBy("w", "len", "said").agg(F.min("first").alias("first"), F.collect_set("item").alias("items")), "item-windows")
         #: How many items the windows name in all, which bounds the table's bytes.
         self.named = self.windows.agg(F.sum(F.size("items"))).first()[0] or 0
         grams = rows.filter(F.size("h") >= window).select(windows("h", gram).alias("g")).select(F.explode_outer(winnowed("g", window - gram + 1)).alias("x"))
@@ -102,7 +109,13 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_
         of = lambda size: F.transform(F.filter("starts", lambda i: i <= F.col("n_words") - size), lambda i: cut(i, size))
         spread = spread.union(rows.select("place", "n_words", "h", starts.alias("starts")).select("place", F.concat(*[of(size) for size in bench.short])))
     spread = spread.select("place", F.explode_outer("x").alias("x")).select("place", "x.*")
-    found = spread.join(small_side(bench.windows.drop("first"), rows=bench.named), ["w", "len"]).select("place", F.struct("start", "len").alias("span"), "items")
+    met = spread.join(small_side(bench.windows.drop("first"), rows=bench.named), ["w", "len"]).groupBy("place").agg(F.collect_list(F.struct("start", "len", "said", "items")).alias("met"))
+    # Hashes only lead here: the windows met are compared with the document's own words, read again for these documents.
+    met = stored(met, "met")
+    numbered = docs.select(F.monotonically_increasing_id().alias("place"), F.col(text_col).cast("string").alias("t"))
+    told = numbered.join(small_side(met, rows=met.agg(F.sum(F.size("met"))).first()[0] or 0), "place").select("place", "met", lowered_words(F.col("t")).alias("words"))
+    same = F.filter("met", lambda x: F.array_join(F.slice("words", x["start"] + 1, x["len"]), " ") == x["said"])
+    found = told.select("place", F.inline(same)).select("place", F.struct("start", "len").alias("span"), "items")
     per_row = stored(found.groupBy("place").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")), "hits")
     return rows.select("place", "id", "n_words").join(per_row, "place", "left")
 

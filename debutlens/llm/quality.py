@@ -50,12 +50,15 @@ class Rules:
     top_words: int = 100
     min_class_chars: int = 200
     max_class_distance: float = 0.27
-    min_common_words: int = 100
-    max_common_distance: float = 0.45
+    min_common_words: int = 40
+    max_common_distance: float = 0.34
+    common_base: float = 0.28
+    common_noise: float = 1.55
     min_reference_words: int = 1000
 
     def common_limit(self, n_words: int) -> float:
-        return self.max_common_distance
+        """Few words lie far from any reference by chance alone: the limit falls with the root of their number."""
+        return max(self.max_common_distance, self.common_base + self.common_noise / n_words**0.5)
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
