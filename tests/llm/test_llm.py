@@ -379,6 +379,49 @@ def test_shards(spark, rows, tmp_path):
     assert sharding.write_shards(frame(spark, rows).limit(0), 8, f"file://{tmp_path}/e").count() == 0
 
 
+def test_shard_query_equals_brute_force(spark, rows, tmp_path):
+    frame(spark, rows * 5).write.parquet(f"{tmp_path}/documents.parquet")
+    columns = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    out, again = (sorted(map(str, sharding.shard_query(spark, str(tmp_path)).select(columns).collect())) for _ in range(2))
+    assert out == again  # the seed tells the order
+    got = sharding.shard_query(spark, str(tmp_path)).collect()
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in rows * 5)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    counts = Counter(r["shard"] for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1 and {r["law"] for r in got} == {"rows"} and {r["grown_shard"] for r in got} == {None}
+    # equal texts are not kept together, nor in their order
+    assert len({r["shard"] for r in got if r["size"] == 1}) > 2 and [r["doc_id"] for r in sorted(got, key=lambda r: (r["shard"], r["slot"]))] != [i for i, _, _ in rows * 5]
+
+
+def test_best_scores_equal_brute_force():
+    vocabulary, unknown = counting.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    score = dict(vocabulary)
+    least = min(score.values()) - counting.UNKNOWN_PENALTY
+    viterbi, rng = counting.CountingViterbi(vocabulary, unknown), random.Random(3)
+    for _ in range(300):
+        word = "▁" + "".join(rng.choices("etaoin shé☃".replace(" ", ""), k=rng.randint(0, 12)))
+        best = [0.0] + [-math.inf] * len(word)
+        for end in range(1, len(word) + 1):
+            for at in range(end):
+                piece = word[at:end]
+                own = score.get(piece, least if end == at + 1 else -math.inf)
+                best[end] = max(best[end], best[at] + own)
+        assert viterbi.count(word)[1] == pytest.approx(best[-1])
+
+
+def test_texts_of_megabytes(spark):
+    rng = random.Random(1)
+    long = words(rng, 200_000)
+    docs = spark.createDataFrame([(1, long, "en"), (2, long + " tail", "en"), (3, "", "en")], "doc_id long, text string, lang string")
+    assert [r["component_id"] for r in simhash.near_duplicates(docs).orderBy("id").collect()] == [1, 1, 3]
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()} == {1: 0, 2: len(long.encode()), 3: 0}
+    item = spark.createDataFrame([(7, " ".join(long.split()[-12:]))], "item_id long, text string")
+    assert {r["id"]: r["n_words"] for r in decontamination.find_contamination(docs, item).filter("spans is not null").collect()} == {1: 200_000, 2: 200_001}
+    assert quality.judge_quality(docs).filter("n_words >= 200000").count() == 2
+    assert interpolation.score_documents(docs).agg(F.max("n_tokens")).first()[0] == 200_002
+    assert packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").isEmpty()
+
+
 def plain_quality(rows, rules=quality.Rules()):  # noqa: B008
     """Per row: base columns, both distances and the verdict, in plain Python."""
     def of_char(c):
@@ -451,3 +494,63 @@ def test_pipeline_stages(spark, tmp_path):
         names.append({r["doc_id"] for r in out.select("doc_id").collect()})
     assert 21 not in names[0] and 20 not in names[1] and 5 not in names[3]
     assert set(corpus_pipeline.run(spark, str(tmp_path)).toPandas().doc_id) == names[3]
+
+
+def plain_pipeline(docs, items):
+    """Pieces of all five stages, each in plain Python over all pairs, strings and windows. docs: (id, text, lang), ids differ."""
+    docs = [d for d, q in zip(docs, plain_quality(docs), strict=True) if q[-1]]
+    stay = set(groups_by_similarity([(i, t) for i, t, _ in docs]))
+    docs = [(i, t) for i, t, _ in docs if i in stay]
+    first = {}
+    for i, t in docs:
+        b = t.encode()
+        for a in range(len(b) - 49):
+            first[b[a : a + 50]] = min(i, first.get(b[a : a + 50], i))
+    cut = []
+    for i, t in docs:
+        b, gone = t.encode(), set()
+        for a in range(len(b) - 49):
+            if first[b[a : a + 50]] < i:
+                gone |= set(range(a, a + 50))
+        at, kept = 0, ""
+        for c in t:
+            kept += "" if set(range(at, at + len(c.encode()))) <= gone else c
+            at += len(c.encode())
+        cut.append((i, kept))
+    word = lambda t: __import__("re").findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate({i: i + 32 for i in range(65, 91)}))
+    keys = {}
+    for _, t in items:
+        w = word(t)
+        n = min(10, len(w))
+        keys.setdefault(n, set()).update(tuple(w[k : k + n]) for k in range(len(w) - n + 1) if n)
+    hit = lambda w: any(tuple(w[k : k + n]) in own for n, own in keys.items() for k in range(len(w) - n + 1))
+    plain, out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
+    for i, t in cut:
+        if not hit(word(t)):
+            ids = [*plain.encode(t, add_special_tokens=False).ids, 2]
+            cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+            out.update((i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:])))  # noqa: B905
+    return out
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    rng = random.Random(13)
+    base = [words(rng, rng.choice([30, 120, 400])) for _ in range(14)]
+    passage = words(rng, 30)
+    texts = list(base)
+    texts += [edited(rng, t, max(1, len(t.split()) // 60)) for t in base[:5]]  # near copies
+    texts += [base[6], base[7] + " " + words(rng, 2), words(rng, 40) + passage + words(rng, 40), words(rng, 50) + passage, "É" + passage + "é" + words(rng, 60)]
+    texts += ["", None, "too short", "#|$ %" * 120, " ".join(["again and again we go to"] * 20), words(rng, 3000)]
+    texts += [words(rng, 60) + " " + " ".join(base[9].split()[3:15]), words(rng, 40) + " only four words here " + words(rng, 30)]
+    docs = [(k * 7 % 101 + 1, t, rng.choice(["aa", "aa", None])) for k, t in enumerate(texts)]
+    items = [(1, " ".join(base[9].split()[:20])), (2, "ONLY four words, here!"), (3, "")]
+    rows = [(i, t, lang, "s", None if t is None else len(t), 1, 2) for i, t, lang in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, place int, kept_text int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = plain_pipeline(docs, items)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert Counter(map(tuple, out.select("doc_id", "piece", "start", "length", "ids_crc32").collect())) == want
+    assert len({i for i, *_ in want}) < len({i for i, t, _ in docs if t})
+    none = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0
