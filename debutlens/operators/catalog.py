@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clip, number
+from .quantiles import exact_percentiles, medians
 
 
 @dataclass(frozen=True)
@@ -102,7 +103,7 @@ class FittedImputer:
 
 
 class Imputer:
-    """Fits one fill value per feature, of the values before clipping, in one aggregate.
+    """Fits one fill value per feature, of the values before clipping.
 
     A column without any value takes the middle of its clip range if it is filled by the median and the range
     starts above zero, else 0; an absent column takes 0.
@@ -113,8 +114,10 @@ class Imputer:
 
     def fit(self, df: DataFrame) -> FittedImputer:
         here = [f for f in self.features if f.name in set(df.columns) and f.fill != "zero"]
-        how = {"mean": F.avg, "median": F.median}
-        row = df.agg(*[how[f.fill](number(F.col(f.name))).alias(f.name) for f in here]).first() if here else {}
+        means = [f.name for f in here if f.fill == "mean"]
+        values = df.select(*[number(F.col(f.name)).alias(f.name) for f in here]) if here else df
+        row = medians(values, [f.name for f in here if f.fill == "median"])
+        row |= values.agg(*[F.avg(c).alias(c) for c in means]).first().asDict() if means else {}
         fills = {}
         for f in self.features:
             value = row[f.name] if f in here else 0.0
@@ -127,7 +130,8 @@ class Imputer:
 def feature_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: count, mean, std, min, quartiles, max, and the shares of missing and zero values in percent."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), q.alias("q"), F.max("value").alias("max"), F.count(F.lit(1)).alias("all"), F.count_if(F.col("value") == 0).alias("zeros"))
+    quartiles = exact_percentiles(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["feature"])
+    out = long.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.count(F.lit(1)).alias("all"), F.count_if(F.col("value") == 0).alias("zeros"))
     share = lambda c: F.round(100 * c / F.col("all"), 2)
-    return out.select("feature", "n", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max", share(F.col("all") - F.col("n")).alias("missing_pct"), share(F.col("zeros")).alias("zero_pct"))
+    out = out.join(F.broadcast(quartiles), "feature", "left")  # a row per feature
+    return out.select("feature", "n", "mean", "std", "min", "p25", "p50", "p75", "max", share(F.col("all") - F.col("n")).alias("missing_pct"), share(F.col("zeros")).alias("zero_pct"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .features import asof_momentum
+from .quantiles import exact_percentiles
 
 #: Limits of the causes, hints and recommended features.
 BEAR_20D, CRASH_5D, CROWDED_DAY, LOOSE_FLOAT, HOT_SECTOR, OLD_SHARES = -0.08, -0.04, 4, 0.6, 50.0, 0.5
@@ -79,16 +80,19 @@ def error_distribution(predictions: DataFrame) -> DataFrame:
     e = with_sigma(predictions).filter(F.col("abs_error").isNotNull())
     x = F.col("abs_error")
     share = lambda c: F.round(F.try_divide(100 * F.count_if(c), F.count(F.lit(1))), 4)
-    return e.agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(x), 4).alias("mean"), F.round(F.median(x), 4).alias("median"), F.round(F.stddev_samp(x), 4).alias("std"), F.round(F.percentile(x, 0.9), 4).alias("p90"),
+    middle = exact_percentiles(predictions.select(F.abs(F.col("actual") - F.col("pred")).alias("e")), "e", {"median": 0.5, "p90": 0.9})
+    counted = e.agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(x), 4).alias("mean"), F.round(F.stddev_samp(x), 4).alias("std"),
         share(F.col("error_sigma") < 1).alias("within_1_sigma_pct"), share(F.col("error_sigma") < 2).alias("within_2_sigma_pct"), F.count_if(F.col("error_sigma") >= 2).alias("n_beyond_2_sigma"),
         F.count_if(x < 5).alias("e_0_5"), F.count_if((x >= 5) & (x < 10)).alias("e_5_10"), F.count_if((x >= 10) & (x < 20)).alias("e_10_20"), F.count_if((x >= 20) & (x < 30)).alias("e_20_30"), F.count_if(x >= 30).alias("e_30_up"),
     )
+    rest = [c for c in counted.columns if c not in ("n", "mean", "std")]
+    return counted.crossJoin(F.broadcast(middle)).select("n", "mean", F.round("median", 4).alias("median"), "std", F.round("p90", 4).alias("p90"), *rest)  # two tables of one row
 
 
 def conformal_quantiles(residuals: DataFrame) -> DataFrame:
-    q = F.percentile(F.abs(F.col("actual") - F.col("pred")), F.array(F.lit(0.5), F.lit(0.9)))
-    return residuals.agg(q.alias("q")).select(F.round(F.col("q")[0], 6).alias("q50"), F.round(F.col("q")[1], 6).alias("q90"))
+    q = exact_percentiles(residuals.select(F.abs(F.col("actual") - F.col("pred")).alias("e")), "e", {"q50": 0.5, "q90": 0.9})
+    return q.select(F.round("q50", 6).alias("q50"), F.round("q90", 6).alias("q90"))
 
 
 def risk_grade() -> Column:

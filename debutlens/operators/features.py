@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import clip, number, ratio
 from ..sources.store import stored
+from .quantiles import exact_percentiles
 
 #: Weights of the commitment periods.
 LOCKUP_WEIGHTS = {"lockup_6m_ratio": 1.0, "lockup_3m_ratio": 0.75, "lockup_1m_ratio": 0.5, "lockup_15d_ratio": 0.25}
@@ -89,9 +90,9 @@ def with_same_day_count(df: DataFrame, date: str = "listing_date", out: str = "s
 def with_group_median_ratio(df: DataFrame, value: str, group: str | None, out: str) -> DataFrame:
     """`value` over its group's median where that is above zero; without a group column, over the whole median."""
     if group is None:
-        medians = df.agg(F.median(value).alias("__median"))
-        return df.crossJoin(medians).withColumn(out, ratio(F.col(value), F.col("__median"))).drop("__median")
-    medians = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.median(value).alias("__median"))
+        medians = exact_percentiles(df, value, {"__median": 0.5})
+        return df.crossJoin(F.broadcast(medians)).withColumn(out, ratio(F.col(value), F.col("__median"))).drop("__median")
+    medians = exact_percentiles(df.filter(F.col(group).isNotNull()), value, {"__median": 0.5}, [group])
     return df.join(medians, group, "left").withColumn(out, ratio(F.col(value), F.col("__median"))).drop("__median")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .diagnostics import risk_grade
 from ..sources.store import stored
 from .joins import chronological_tail, walk_windows, with_rank
+from .quantiles import exact_percentiles, medians
 
 #: The reference settings of the trees.
 SETTINGS = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": 42}
@@ -39,7 +40,7 @@ class ReturnModel:
             self.classifier = Pipeline(stages=[VectorAssembler(inputCols=self.features, outputCol="__z"), GBTClassifier(featuresCol="__z", labelCol="__up", predictionCol="__cls", **self.settings).setRawPredictionCol("__raw").setProbabilityCol("__prob")]).fit(rows)
         held = calibration if calibration is not None else train
         errors = self.regressor.transform(held.select(*[F.col(c).cast("double") for c in self.features], F.col(self.target).cast("double").alias("__y"))).select(F.abs(F.col("__y") - F.col("__pred")).alias("e"))
-        self.q50, self.q90 = errors.agg(F.percentile("e", F.array(F.lit(0.5), F.lit(0.9)))).first()[0] or (0.0, 0.0)
+        self.q50, self.q90 = (q or 0.0 for q in exact_percentiles(errors, "e", {"q50": 0.5, "q90": 0.9}).first())
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -133,8 +134,7 @@ def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_re
     def one(w) -> DataFrame:
         train = known.filter(F.col(date) < F.lit(w["split"]))
         valid = known.filter((F.col(date) >= F.lit(w["split"])) & (F.col(date) < F.lit(w["valid_end"])))
-        medians = train.agg(*[F.median(c).alias(c) for c in features]).first().asDict()
-        fills = {c: float(v if v is not None else 0.0) for c, v in medians.items()}
+        fills = {c: float(v if v is not None else 0.0) for c, v in medians(train, features).items()}
         tailed = chronological_tail(train.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.items()}), max(5, int(0.15 * w["n_train"])), [date, key])
         model = ReturnModel(features, target, **settings).fit(tailed.filter("not is_tail"), tailed.filter("is_tail"))
         scored = model.predict(valid.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.items()}))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .features import band_exceeded, lockup_weighted_score
 from .keyed_tables import upsert_given
+from .quantiles import medians
 
 #: Required fields, allowed ranges and the defaults of absent core fields.
 REQUIRED = ("institutional_demand_ratio", "lockup_6m_ratio", "offering_price_band_position")
@@ -40,8 +41,8 @@ def complete(requests: DataFrame, features: list[str], fill_mode: str = "zero",
     if fill_mode == "catalog":
         return imputer.transform(rows, keep)
     here = [c for c in features if c in rows.columns]
-    medians = rows.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in here]).first().asDict() if fill_mode == "median" and here else {}
-    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c) or 0.0)) if c in here else F.lit(0.0)
+    middle = medians(rows, here) if fill_mode == "median" else {}
+    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c) or 0.0)) if c in here else F.lit(0.0)
     return rows.select(*(keep or []), *[value(c).alias(c) for c in features])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import extract
 from ..functions.cleaning import clean_name, number
 from ..operators import catalog, diagnostics, features, joins, keyed_tables, model, rubric, scoring
+from ..operators.quantiles import exact_percentiles
 from ..sources import tables
 from ..sources.store import stored
 from . import proxies as P
@@ -71,7 +72,9 @@ def extreme_returns(spark, d):
 @query("SELECT count(ret)::BIGINT AS n, round(avg(ret), 4) AS mean, round(median(ret), 4) AS median, round(stddev_samp(ret), 4) AS std, round(avg((ret > 0)::INTEGER), 4) AS positive_share FROM p_listings")
 def target_summary(spark, d):
     r = "open_return_pct"
-    return returns(spark, d).agg(F.count(r).alias("n"), F.round(F.avg(r), 4).alias("mean"), F.round(F.median(r), 4).alias("median"), F.round(F.stddev_samp(r), 4).alias("std"), F.round(F.avg((F.col(r) > 0).cast("double")), 4).alias("positive_share"))
+    rows = returns(spark, d)
+    told = rows.agg(F.count(r).alias("n"), F.round(F.avg(r), 4).alias("mean"), F.round(F.stddev_samp(r), 4).alias("std"), F.round(F.avg((F.col(r) > 0).cast("double")), 4).alias("positive_share"))
+    return told.crossJoin(F.broadcast(exact_percentiles(rows, r, {"median": 0.5}))).select("n", "mean", F.round("median", 4).alias("median"), "std", "positive_share")
 
 
 @query("""
@@ -190,7 +193,9 @@ SELECT split, count(*)::BIGINT AS n, round(median(ret), 4) AS median_return FROM
 """)
 def validation_medians(spark, d):
     rows = returns(spark, d)
-    return joins.validation_rows(rows, joins.walk_windows(rows)).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.round(F.median("open_return_pct"), 4).alias("median_return"))
+    valid = joins.validation_rows(rows, joins.walk_windows(rows))
+    middle = exact_percentiles(valid, "open_return_pct", {"median_return": 0.5}, ["split"])
+    return valid.groupBy("split").agg(F.count(F.lit(1)).alias("n")).join(middle, "split", "left").select("split", "n", F.round("median_return", 4).alias("median_return"))
 
 
 @query("""SELECT round(avg(e), 3) AS mae, round(avg(((actual > 0) = (pred > 0))::INTEGER), 4) AS direction_acc, round(avg((actual BETWEEN ci_90_low AND ci_90_high)::INTEGER), 4) AS coverage_90, count(DISTINCT "window")::BIGINT AS n_windows, count(*)::BIGINT AS n FROM p_pred""")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from debutlens.functions import extract
 from debutlens.functions.cleaning import clean_name, clip, day, number
 from debutlens.operators import catalog, diagnostics, features, joins, keyed_tables, rubric, scoring
+from debutlens.operators.quantiles import exact_percentiles, medians
 from debutlens.sources import tables
 
 D = dt.date
@@ -271,3 +272,18 @@ def test_files_of_a_run(spark, tmp_path):
     tables.write_report(diagnostics.run_report(rows, causes), str(tmp_path / "r"))
     report = json.loads(next((tmp_path / "r").glob("*.json")).read_text())
     assert report["outliers"]["causes"] == {"E_unknown": 1} and report["backtest"]["n"] == 29 and report["by_year"][0]["year"] == 2024
+
+
+def test_percentiles_equal_the_built_in_ones(spark):
+    dice = random.Random(4)
+    rows = [(dice.choice(["a", "b", None]), dice.choice([None, 0.0, -0.0, 1.5, dice.gauss(0, 9), dice.gauss(0, 9)])) for _ in range(900)]
+    rows += [("one", 3.0), ("two", 1.0), ("two", 2.0), ("none", None), ("nan", float("nan")), ("nan", 1.0), ("inf", float("inf")), ("inf", float("inf"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    shares = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    plain = [F.percentile(F.col("v") + 0.0, F.lit(p)).alias(c) for c, p in shares.items()]
+    show = lambda out: sorted(map(str, out.collect()))
+    assert show(exact_percentiles(df, "v", shares, ["k"])) == show(df.filter("v is not null").groupBy("k").agg(*plain))
+    assert show(exact_percentiles(df.filter("k < 'c'"), "v", shares)) == show(df.filter("k < 'c'").agg(*plain))
+    assert exact_percentiles(df.limit(0), "v", shares).first() == (None,) * 5
+    assert exact_percentiles(df.limit(0), "v", shares, ["k"]).count() == 0
+    assert medians(df.filter("k = 'two'").withColumn("w", F.lit(None).cast("double")), ["v", "w"]) == {"v": 1.5, "w": None}
