@@ -17,11 +17,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, stored
 
 MAGIC = b"\x1f\x8b\x08"
 #: Records of payloads below this many bytes are never revisits.
 MIN_REVISIT = 100
+#: A payload that more than one of this many records hold is hot; so there are fewer hot payloads than this.
+HOT_SHARE = 100_000
 READ = "path string, start long, record_id string, record_type string, target_uri string, refers_to string, payload_bytes long, payload_digest string, payload binary, digest_ok boolean"
 
 
@@ -32,21 +34,28 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def with_revisits(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def with_revisits(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", hot_share: int = HOT_SHARE) -> DataFrame:
     """Record plan: record_id, target_uri, payload, payload_bytes, payload_digest, record_type, refers_to.
 
     Of records with equal payloads of at least 100 bytes the one with the smallest id is the response and the
     others revisit it; rows that repeat this smallest id are responses too. Null payloads are empty ones, a null
-    URL is empty, null ids come after all others. The digest is joined to one small row per digest, so that a
-    hot payload's rows can be split over tasks.
+    URL is empty, null ids come after all others. Digests that repeat are stored with their first id; hot ones,
+    of which there are fewer than `hot_share`, are broadcast, so that their records stay where they are, and only
+    other records look theirs up by a shuffle, if that table is too large to broadcast. `pages` must be a stored table.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("record_id"), F.coalesce(F.col(url_col), F.lit("")).alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumn("payload_bytes", F.length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
     firsts = rows.filter(F.col("payload_bytes") >= MIN_REVISIT).groupBy("payload_digest").agg(F.min("record_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    firsts = firsts.filter("n > 1").select("payload_digest", "first_id")
-    joined = rows.join(firsts, "payload_digest", "left")
-    revisit = (F.col("payload_bytes") >= MIN_REVISIT) & F.col("first_id").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("first_id"))
+    firsts = stored(firsts.filter("n > 1"), "first-records")
+    hot = F.col("n") * hot_share > pages.count()
+    often = firsts.filter(hot).select("payload_digest", F.col("first_id").alias("often_id"), F.lit(True).alias("often"))
+    seldom = firsts.filter(~hot).select(F.col("payload_digest").alias("sought"), F.col("first_id").alias("seldom_id"))
+    # records without a lookup get keys of their own: NULL keys would meet in one task
+    sought = F.when(F.col("often").isNull() & (F.col("payload_bytes") >= MIN_REVISIT), F.col("payload_digest"))
+    joined = rows.join(F.broadcast(often), "payload_digest", "left").withColumn("sought", F.coalesce(sought, F.concat(F.lit("-"), F.monotonically_increasing_id())))
+    joined = joined.join(seldom, "sought", "left").withColumn("first_id", F.coalesce("often_id", "seldom_id"))
+    revisit = F.col("first_id").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("first_id"))
     return joined.select(
         "record_id", "target_uri", "payload", "payload_bytes", "payload_digest",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),

@@ -370,6 +370,30 @@ def test_warc_round_trip_over_small_ranges(spark, tmp_path):
             assert (r["record_type"], r["refers_to"]) == (("revisit", "0") if revisit else ("response", None))
 
 
+@pytest.mark.parametrize("hot_share", [1, 10, 10**6])  # all lookups by a shuffle, hot ones by broadcast, all by broadcast
+def test_revisits_of_hot_and_seldom_payloads(spark, hot_share):
+    rng = random.Random(8)
+    bodies = ["hot " * 40] * 30 + ["rare " * 30] * 3 + ["short"] * 20 + [None, ""] * 5 + ["x" * 99] * 2 + ["y" * 100] * 2 + [words(rng, 40) for _ in range(9)]
+    rng.shuffle(bodies)
+    pages = list(enumerate(bodies)) + [(None, "hot " * 40), (None, "lost " * 30), (None, "lost " * 30), (0, bodies[0])]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in pages], "page_id long, html string, often string").withColumn("url", F.lit("u")).repartition(3)
+    ids = {}
+    for i, t in pages:
+        ids.setdefault(t or "", []).append(i)
+    want = []
+    for i, t in pages:
+        known = [j for j in ids[t or ""] if j is not None]
+        size = len((t or "").encode())
+        again = size >= 100 and known and i != min(known)
+        want.append((i, size, "revisit" if again else "response", min(known) if again else None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = warc.with_revisits(df, hot_share=hot_share).select("record_id", "payload_bytes", "record_type", "refers_to").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_shards(spark, rows, tmp_path):
     out = sharding.write_shards(frame(spark, rows * 5), 8, f"file://{tmp_path}/s", bucket_bytes=20_000).collect()
     assert Counter((r["row"]["doc_id"], r["row"]["text"]) for r in out) == Counter((i, t) for i, t, _ in rows * 5)
