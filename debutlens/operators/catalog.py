@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import clip, number
+from ..functions.cleaning import number
 from .quantiles import exact_percentiles, medians
 
 
@@ -76,7 +76,7 @@ def available(df: DataFrame, features: list[Feature]) -> tuple[list[str], list[s
 
 
 class FittedImputer:
-    """Fill values by feature. `transform` is one projection: coerce, clip, fill, clip."""
+    """Fill values by feature. `transform` is one projection: coerce, fill, clip (clipped before the fill too, it is the same)."""
 
     def __init__(self, features: list[Feature], fills: dict[str, float]):
         self.features, self.fills = features, fills
@@ -86,8 +86,10 @@ class FittedImputer:
 
         def made(f: Feature):
             value = number(F.col(f.name)) if f.name in have else F.lit(None).cast("double")
-            filled = F.coalesce(clip(value, f.low, f.high), F.lit(self.fills[f.name]))
-            return clip(filled, f.low, f.high).alias(f.name)
+            out = F.coalesce(value, F.lit(self.fills[f.name]))
+            # never NULL, so bounds need no test for it: the expressions of all features have to fit one generated method
+            out = out if f.low is None else F.greatest(out, F.lit(float(f.low)))
+            return (out if f.high is None else F.least(out, F.lit(float(f.high)))).alias(f.name)
 
         return df.select(*(keep or []), *map(made, self.features))
 

@@ -34,7 +34,8 @@ def imputed_sql() -> str:
 @query(imputed_sql())
 def imputed_catalog(spark, d):
     """All core and secondary features, filled and clipped by a stored imputer."""
-    rows = P.offers(spark, d).select("listing_id", *[F.expr(raw_value(i, f)).cast("double").alias(f.name) for i, f in enumerate(WIDE)])
+    # stored: one generated method can't hold the offers' aggregate and all columns made from it
+    rows = stored(P.offers(spark, d).select("listing_id"), "offers").select("listing_id", *[F.expr(raw_value(i, f)).cast("double").alias(f.name) for i, f in enumerate(WIDE)])
     path = scratch(spark, "imputer")
     catalog.Imputer(WIDE).fit(rows).save(path)
     out = catalog.FittedImputer.load(spark, path).transform(rows, ["listing_id"])
