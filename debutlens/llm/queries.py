@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, counting, decontamination, interpolation, packing, quality, sharding, simhash, suffix_dedup, warc
+from . import audit, chat, counting, decontamination, interpolation, merkle, mixing, packing, quality, sharding, simhash, suffix_dedup, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.contamination_query,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_token_counts": counting.token_query,
     "op9_warc_records": warc.warc_query,
     "op10_two_pass_shuffle": sharding.shard_query,
+    "op11_water_filling": mixing.mix_query,
+    "op12_merkle_manifest": merkle.manifest_query,
+    "op13_filter_audit": audit.audit_query,
 }
 SQL = {
     "op1_decontamination": decontamination.CONTAMINATION_SQL,
     "op5_chat_format": chat.CHAT_SQL,
     "op9_warc_records": warc.WARC_SQL,
+    "op12_merkle_manifest": merkle.MANIFEST_SQL,
+    "op13_filter_audit": audit.AUDIT_SQL,
 }
