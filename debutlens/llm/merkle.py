@@ -8,6 +8,7 @@ by superblock, where one function finishes the local tree, joins the proofs and
 
 from __future__ import annotations
 
+from functools import partial
 from hashlib import sha256
 
 import pandas as pd
@@ -50,10 +51,10 @@ def numbered(nodes: DataFrame, *order: str) -> DataFrame:
     return placed.join(small_side(stored(starts, "starts")), ["grp", "part"]).withColumn("at", F.col("place") + F.col("shift")).drop("place", "part", "shift")
 
 
-def reduced(nodes: list[str], total: int) -> list[list[str]]:
-    """The levels of a superblock's tree, nodes first; as many as its group's tree still has, at most BLOCK_BITS more."""
+def reduced(nodes: list[str], total: int, bits: int) -> list[list[str]]:
+    """The levels of a superblock's tree, nodes first; as many as its group's tree still has, at most `bits` more."""
     levels = [nodes]
-    for _ in range(min(BLOCK_BITS, (total - 1).bit_length())):
+    for _ in range(min(bits, (total - 1).bit_length())):
         below = levels[-1]
         levels.append([digest("".join(below[i : i + 2])) for i in range(0, len(below), 2)])
     return levels
@@ -75,53 +76,54 @@ def folded(leaf: str, path: list[str]) -> str:
     return leaf
 
 
-def root_of_block(group: pd.DataFrame) -> pd.DataFrame:
+def root_of_block(bits: int, group: pd.DataFrame) -> pd.DataFrame:
     nodes, total = group.sort_values("at")["node"].tolist(), int(group["total"].iloc[0])
-    return pd.DataFrame({"grp": group["grp"].iloc[:1], "at": group["block"].iloc[:1], "node": reduced(nodes, total)[-1], "total": -(-total >> BLOCK_BITS)})
+    return pd.DataFrame({"grp": group["grp"].iloc[:1], "at": group["block"].iloc[:1], "node": reduced(nodes, total, bits)[-1], "total": -(-total >> bits)})
 
 
-def climb(nodes: DataFrame) -> list[DataFrame]:
+def climb(nodes: DataFrame, bits: int) -> list[DataFrame]:
     """Tables of grp, at, node, total: the given nodes, then the roots of superblocks of the one before, until each
-    group has one node. Their number grows with the logarithm of the rows (base 4096)."""
+    group has one node. Their number grows with the logarithm of the rows (base 2**bits)."""
     levels = [nodes.select("grp", "at", "node", "total")]
     most = nodes.agg(F.max("total")).first()[0] or 0
     while most > 1:
-        blocks = levels[-1].withColumn("block", F.shiftright("at", BLOCK_BITS)).groupBy("grp", "block")
-        levels.append(stored(blocks.applyInPandas(root_of_block, "grp string, at long, node string, total long"), "roots"))
-        most = -(-most >> BLOCK_BITS)
+        blocks = levels[-1].withColumn("block", F.shiftright("at", bits)).groupBy("grp", "block")
+        levels.append(stored(blocks.applyInPandas(partial(root_of_block, bits), "grp string, at long, node string, total long"), "roots"))
+        most = -(-most >> bits)
     return levels
 
 
-def path_of_nodes(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def path_of_nodes(bits: int, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
     nodes = nodes.sort_values("at")
-    levels, above = reduced(nodes["node"].tolist(), int(nodes["total"].iloc[0])), list(outer["path"].iloc[0])
+    levels, above = reduced(nodes["node"].tolist(), int(nodes["total"].iloc[0]), bits), list(outer["path"].iloc[0])
     paths = [siblings(levels, i) + above for i in range(len(nodes))]
     return pd.DataFrame({"grp": nodes["grp"], "at": nodes["at"], "path": paths, "subroot": outer["subroot"].iloc[0], "root": outer["root"].iloc[0]})
 
 
-def prove(leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def prove(bits: int, proofs: bool, leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
     """One superblock: its local tree, every leaf's proof up to the root of all, and what the leaf shown folds to."""
     leaves = leaves.sort_values("at")
-    levels, above = reduced(leaves["node"].tolist(), int(leaves["total"].iloc[0])), list(outer["path"].iloc[0])
+    levels, above = reduced(leaves["node"].tolist(), int(leaves["total"].iloc[0]), bits), list(outer["path"].iloc[0])
     paths = [siblings(levels, i) + above for i in range(len(leaves))]
     out = leaves[["row", "node", "at"]].rename(columns={"node": "leaf"})
     out["subroot"], out["root"] = outer["subroot"].iloc[0], outer["root"].iloc[0]
-    out["proof"] = paths
+    if proofs:
+        out["proof"] = paths
     out["proof_sha256"] = [digest("".join(step[1:] for step in path)) for path in paths]
     out["folded_root"] = [folded(shown, path) for shown, path in zip(leaves["shown"], paths)]
     return out
 
 
-def descend(levels: list[DataFrame], outer: DataFrame) -> DataFrame:
+def descend(levels: list[DataFrame], outer: DataFrame, bits: int) -> DataFrame:
     """Hands paths down from the top nodes to the first level's superblocks: grp, at, path, subroot, root."""
     for nodes in levels[:0:-1]:
-        blocks = nodes.withColumn("block", F.shiftright("at", BLOCK_BITS)).groupBy("grp", "block")
+        blocks = nodes.withColumn("block", F.shiftright("at", bits)).groupBy("grp", "block")
         handed = blocks.cogroup(outer.withColumn("block", F.col("at")).groupBy("grp", "block"))
-        outer = stored(handed.applyInPandas(path_of_nodes, "grp string, at long, path array<string>, subroot string, root string"), "paths")
+        outer = stored(handed.applyInPandas(partial(path_of_nodes, bits), "grp string, at long, path array<string>, subroot string, root string"), "paths")
     return outer
 
 
-def build_manifest(docs: DataFrame, *, fields: tuple = ("doc_id", "source", "lang", "n_chars", "text"), id_col: str = "doc_id", group_col: str = "lang", shown: dict[str, Column] | None = None, proofs: bool = True) -> DataFrame:
+def build_manifest(docs: DataFrame, *, fields: tuple = ("doc_id", "source", "lang", "n_chars", "text"), id_col: str = "doc_id", group_col: str = "lang", shown: dict[str, Column] | None = None, proofs: bool = True, bits: int = BLOCK_BITS) -> DataFrame:
     """Per input row: id, grp (null: null), at (place in its group), leaf, subroot, root, proof (siblings from the leaf
     to the root, `L` or `R` and digest, `-` for none; left out without `proofs`), proof_sha256, folded_root, verified.
 
@@ -142,24 +144,24 @@ def build_manifest(docs: DataFrame, *, fields: tuple = ("doc_id", "source", "lan
         seen = F.when(differs, leaf_digest(own | shown)).otherwise(seen)
     rows = docs.select(F.col(id_col).alias("id"), grp.alias("grp"), leaf.alias("node"), seen.alias("shown"), F.monotonically_increasing_id().alias("salt"))
     leaves = stored(numbered(stored(rows, "leaves"), "id", "node", "salt").drop("salt"), "numbered-leaves")
-    levels = climb(leaves)
+    levels = climb(leaves, bits)
     tops = levels[-1].select(F.lit("").alias("grp"), F.col("grp").alias("id"), "node")
     groups = stored(numbered(stored(tops, "subroots"), "id"), "numbered-subroots")
-    over = climb(groups)
+    over = climb(groups, bits)
     root = over[-1].select("grp", "at", F.array().cast("array<string>").alias("path"), F.lit("").alias("subroot"), F.col("node").alias("root"))
     # The groups' tree is one more tree: its leaves' paths are what the groups' own top nodes need from outside.
-    blocks = groups.withColumn("block", F.shiftright("at", BLOCK_BITS)).groupBy("grp", "block")
-    met = blocks.cogroup(descend(over, root).withColumn("block", F.col("at")).groupBy("grp", "block")) if len(over) > 1 else None
-    by_place = (met.applyInPandas(path_of_nodes, "grp string, at long, path array<string>, subroot string, root string") if met else root).drop("subroot")
+    blocks = groups.withColumn("block", F.shiftright("at", bits)).groupBy("grp", "block")
+    met = blocks.cogroup(descend(over, root, bits).withColumn("block", F.col("at")).groupBy("grp", "block")) if len(over) > 1 else None
+    by_place = (met.applyInPandas(partial(path_of_nodes, bits), "grp string, at long, path array<string>, subroot string, root string") if met else root).drop("subroot")
     named = by_place.join(groups.select("at", F.col("id").alias("name"), F.col("node").alias("subroot")), "at")
     outer = stored(named.select(F.col("name").alias("grp"), F.lit(0).cast("long").alias("at"), "path", "subroot", "root"), "outer")
-    outer = descend(levels, outer)
+    outer = descend(levels, outer, bits)
     id_type = leaves.schema["id"].dataType.simpleString()
-    held = leaves.select(F.struct("id", "grp").alias("row"), "grp", "at", "node", "shown", "total", F.shiftright("at", BLOCK_BITS).alias("block"))
+    held = leaves.select(F.struct("id", "grp").alias("row"), "grp", "at", "node", "shown", "total", F.shiftright("at", bits).alias("block"))
     made = held.groupBy("grp", "block").cogroup(outer.withColumn("block", F.col("at")).groupBy("grp", "block"))
     kept = "proof array<string>, " if proofs else ""
     of_row = f"row struct<id: {id_type}, grp: string>, leaf string, at long, subroot string, root string, {kept}proof_sha256 string, folded_root string"
-    proved = made.applyInPandas(prove if proofs else lambda a, b: prove(a, b).drop(columns="proof"), of_row)
+    proved = made.applyInPandas(partial(prove, bits, proofs), of_row)
     name = F.when(F.col("row.grp") != "", F.substring("row.grp", 2, 1 << 30))
     rest = ["at", "leaf", "subroot", "root", *(["proof"] if proofs else []), "proof_sha256", "folded_root"]
     return proved.select(F.col("row.id").alias("id"), name.alias("grp"), *rest, (F.col("folded_root") == F.col("root")).alias("verified"))

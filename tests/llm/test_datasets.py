@@ -114,9 +114,8 @@ def plain_manifest(leaves, shown):
     return out
 
 
-@pytest.mark.parametrize("block_bits", [1, 2, 12])
-def test_manifest_equals_plain_tree(spark, rows, block_bits, monkeypatch):
-    monkeypatch.setattr(merkle, "BLOCK_BITS", block_bits)
+@pytest.mark.parametrize("bits", [2, 3, 12])
+def test_manifest_equals_plain_tree(spark, rows, bits):
     docs = frame(spark, rows)
     said = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
     leaf = lambda i, t, lang, source, n: sha256("".join(map(said, (i, source, lang, n, t))).encode()).hexdigest()
@@ -125,7 +124,7 @@ def test_manifest_equals_plain_tree(spark, rows, block_bits, monkeypatch):
     shown = [leaf(i, t, lang, source, None if n is None else n + b) for (i, t, lang, source, n), b in zip(rows, bad)]
     want = plain_manifest(leaves, shown)
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
-    got = merkle.build_manifest(docs, shown={"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}).collect()
+    got = merkle.build_manifest(docs, shown={"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}, bits=bits).collect()
     assert sorted((r["leaf"], r["subroot"], r["root"], tuple(r["proof"]), r["folded_root"]) for r in got) == sorted(want.values())
     for r in got:
         assert r["proof_sha256"] == sha256("".join(x[1:] for x in r["proof"]).encode()).hexdigest()
