@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,4 +32,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes `df` as a table in the shared folder and reads it back."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+#: Where the tables that `stored` returned lie, while they are referred to.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a table's folder, on any file system that Spark can reach."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes a table that `stored` returned, for whoever knows that nothing reads it any more."""
+    delete(df.sparkSession, _PATHS.pop(df))
