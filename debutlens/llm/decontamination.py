@@ -76,20 +76,23 @@ class Benchmark:
 
 
 def hash_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """place (the row's number in the input), id, n_words and h, the words' hashes, stored once for all that follows."""
-    rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).alias("id"), word_hashes(F.col(text_col).cast("string")).alias("h"))
-    return stored(rows.select("place", "id", F.size("h").cast("long").alias("n_words"), "h"), "word-hashes")
+    """row (all columns), place (the row's number), id, n_words and h, the words' hashes: numbered and stored once for all
+    that follows."""
+    hashes = word_hashes(F.col(text_col).cast("string")).alias("h")
+    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"), F.col(id_col).alias("id"), hashes)
+    return stored(rows.select("row", "place", "id", F.size("h").cast("long").alias("n_words"), "h"), "word-hashes")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, gram: int = 5) -> DataFrame:
-    """Per input row: place, id, n_words, spans array<struct<start, len>>, items array.
+    """Per input row: row (struct of all input columns, whatever their names), place, id, n_words, spans
+    array<struct<start, len>>, items array.
 
     A span is a hit window of the document in words (half-open from start), items are the ids of items with a
     hit; both are null without one. An item of fewer words than `window`, but not none, is one window. Null and
     empty texts have no words and no hits; repeated rows are judged each; an empty table on either side gives no
     rows or no hits. The item side is broadcast while counted small, else both sides are shuffled by hash; the
-    document side then sends a place and a number per fingerprint. Other input columns stay with the caller, who
-    joins them by `place` = monotonically_increasing_id() of the same stored input.
+    document side then sends a place and a number per fingerprint. The input is read once, numbered and stored; all
+    later steps read that table.
     """
     bench = Benchmark(items, item_id, item_text, window, gram)
     rows = hash_words(docs, id_col, text_col)
@@ -110,20 +113,19 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_
         spread = spread.union(rows.select("place", "n_words", "h", starts.alias("starts")).select("place", F.concat(*[of(size) for size in bench.short])))
     spread = spread.select("place", F.explode_outer("x").alias("x")).select("place", "x.*")
     met = spread.join(small_side(bench.windows.drop("first"), rows=bench.named), ["w", "len"]).groupBy("place").agg(F.collect_list(F.struct("start", "len", "said", "items")).alias("met"))
-    # Hashes only lead here: the windows met are compared with the document's own words, read again for these documents.
+    # Hashes only lead here: the windows met are compared with the document's own words, cut anew for these documents.
     met = stored(met, "met")
-    numbered = docs.select(F.monotonically_increasing_id().alias("place"), F.col(text_col).cast("string").alias("t"))
-    told = numbered.join(small_side(met, rows=met.agg(F.sum(F.size("met"))).first()[0] or 0), "place").select("place", "met", lowered_words(F.col("t")).alias("words"))
+    texts = rows.select("place", F.col("row")[text_col].cast("string").alias("t"))
+    told = texts.join(small_side(met, rows=met.agg(F.sum(F.size("met"))).first()[0] or 0), "place").select("place", "met", lowered_words(F.col("t")).alias("words"))
     same = F.filter("met", lambda x: F.array_join(F.slice("words", x["start"] + 1, x["len"]), " ") == x["said"])
     found = told.select("place", F.inline(same)).select("place", F.struct("start", "len").alias("span"), "items")
     per_row = stored(found.groupBy("place").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")), "hits")
-    return rows.select("place", "id", "n_words").join(per_row, "place", "left")
+    return rows.select("row", "place", "id", "n_words").join(small_side(per_row), "place", "left")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, a stored table, that hold no window of an item."""
-    hit = find_contamination(docs, items, **options).filter("spans is not null").select(F.col("place").alias("__place"))
-    return docs.withColumn("__place", F.monotonically_increasing_id()).join(small_side(hit), "__place", "left_anti").select(*docs.columns)
+    """The rows of `docs` that hold no window of an item."""
+    return find_contamination(docs, items, **options).filter("spans is null").select("row.*")
 
 
 def covered(spans: Column) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_side, stored
+from .common import numbered, small_side, stored
 
 BITS, SEED = 64, 42
 #: Fingerprints that a bucket may have to be fetched.
@@ -63,8 +63,8 @@ def fingerprint(codes: np.ndarray) -> int:
     return int(np.packbits(2 * bits > len(codes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """place (the row's number in the input), id and fp long (the 64 bits, signed) of each row. Null and empty texts have 0."""
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, place: Column | None = None) -> DataFrame:
+    """place (the row's number, or the one given), id and fp long (the 64 bits, signed) of each row. Null and empty texts have 0."""
     schema = T.StructType([T.StructField("place", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +73,8 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             told = np.fromiter(own, np.uint64, batch.num_rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("id"), pa.array(told)], names=["place", "id", "fp"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
+    number = F.monotonically_increasing_id() if place is None else place
+    rows = docs.select(number.alias("place"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
     return rows.mapInArrow(run, schema)
 
 
@@ -139,16 +140,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 2, segments: int = 2, bucket: int = BUCKET) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 2, segments: int = 2, bucket: int = BUCKET, place: Column | None = None) -> DataFrame:
     """Per input row: place, id, fp long, component long (smallest fingerprint reachable), component_id (smallest id reachable).
 
     Rows of equal fingerprints are one node, so copies cost one row each. Null and empty texts share the
     fingerprint 0, which links like any other; null ids link too, but don't count for component_id unless a group
     has no other; repeated rows fall into one group; an empty table gives no rows. Ids have any type with an
-    order. Other input columns stay with the caller, who joins them by `place` = monotonically_increasing_id()
-    of the same stored input.
+    order. Other input columns stay with the caller, who numbers the rows in a stored table and gives that number as
+    `place`; else rows are numbered here, once.
     """
-    rows = stored(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "fingerprints")
+    rows = stored(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, place=place), "fingerprints")
     distinct = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = components(neighbour_links(distinct.select("fp"), max_distance=max_distance, segments=segments, bucket=bucket))
     rooted = stored(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("component")), "rooted")
@@ -156,15 +157,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return rows.join(class_of, "fp").select("place", "id", "fp", "component", "component_id")
 
 
-def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, a stored table, that stay: of each group the one with the smallest id (of repeated ids the first row; null ids come last).
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` that stay: of each group the one with the smallest id (of repeated ids the first row; null ids come last).
 
     The rows that stay are told by an aggregate with partial sums and joined by their place, so a group of any
     size is spread over tasks.
     """
-    found = near_duplicates(docs, **options)
-    stays = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "place")).alias("m")).select(F.col("m.place").alias("__place"))
-    return docs.withColumn("__place", F.monotonically_increasing_id()).join(stays, "__place", "left_semi").select(*docs.columns)
+    rows = numbered(docs)
+    texts = rows.select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("t"), F.col("place").alias("number"))
+    found = near_duplicates(texts, id_col="id", text_col="t", place=F.col("number"), **options)
+    stays = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "place")).alias("m")).select("m.place")
+    return rows.join(stays, "place", "left_semi").select("row.*")
 
 
 def simhash_query(spark, sf_dir: str) -> DataFrame:

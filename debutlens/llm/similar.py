@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_side, stored
+from .common import discard, numbered, small_side, stored
 from .keyed import narrow, packed, packed_keys, plan, range_edges, spread, unpacked, unpacked_keys
 from .simhash import components, fingerprint, neighbour_links, shingle_codes
 
@@ -53,8 +53,8 @@ def signature(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
-def digests(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """place, id, fingerprint fp and the digest of the set of each row."""
+def digests(rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Of numbered rows: place, id, fingerprint fp and the digest of the set of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -65,8 +65,8 @@ def digests(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame
                 own.append(xxhash.xxh3_128_digest(np.unique(codes).tobytes()))
             yield pa.RecordBatch.from_arrays([b.column("place"), b.column("id"), pa.array(fps.view(np.int64)), pa.array(own, pa.binary())], names=["place", "id", "fp", "digest"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
-    return rows.mapInArrow(run, "place long, id long, fp long, digest binary")
+    read = rows.select("place", F.col("row")[id_col].cast("long").alias("id"), F.col("row")[text_col].cast("binary").alias("t"))
+    return read.mapInArrow(run, "place long, id long, fp long, digest binary")
 
 
 def fingerprint_pairs(sets: DataFrame) -> DataFrame:
@@ -202,14 +202,19 @@ def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     A group is what pairs of at least that similarity reach, over the sets of shingles of `shingle_words` words
     (case set aside, a shorter text is one shingle). Null and empty texts are copies of each other; null ids come
-    after all others; an empty table gives no rows. `docs` must be a stored table.
+    after all others; an empty table gives no rows. Ids are longs; other columns may have any name. The input is read
+    once and numbered; that table is removed when the distinct texts, with the rows that stand for them, are stored.
     """
     if similarity < 0.8:
         raise ValueError("below 0.8, sets of fewer shingles than a split key may be similar")
-    own = stored(digests(docs, id_col, text_col, shingle_words), "digests")
-    sets = stored(own.groupBy("digest").agg(F.min("place").alias("node"), F.min("fp").alias("fp"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "place")).alias("first")), "sets")
-    placed = docs.select(F.monotonically_increasing_id().alias("node"), F.col(text_col).cast("binary").alias("t"))
-    texts = stored(placed.join(sets.select("node"), "node", "left_semi"), "texts")
+    rows = numbered(docs)
+    own = stored(digests(rows, id_col, text_col, shingle_words), "digests")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "place")).alias("first")
+    sets = stored(own.groupBy("digest").agg(F.min("fp").alias("fp"), first).select("fp", "first", F.col("first.place").alias("node")), "sets")
+    # A set's node is the row that would stay, so that these rows are all that is needed from here on.
+    held = stored(rows.select(F.col("place").alias("node"), "row").join(sets.select("node"), "node", "left_semi"), "texts")
+    discard(rows)
+    texts = held.select("node", F.col("row")[text_col].cast("binary").alias("t"))
     roots = similar_groups(texts, fingerprint_pairs(sets), size=shingle_words, similarity=similarity, most=most, chunk_bytes=chunk_bytes, range_bytes=range_bytes)
-    stays = sets.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.place").alias("__place"))
-    return docs.withColumn("__place", F.monotonically_increasing_id()).join(stays, "__place", "left_semi").select(*docs.columns)
+    stays = sets.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.place").alias("node"))
+    return held.join(stays, "node", "left_semi").select("row.*")

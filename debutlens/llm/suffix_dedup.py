@@ -20,6 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored
 from .induced import repeated_windows
@@ -129,17 +130,21 @@ def whole_characters(text: bytes, spans: np.ndarray) -> str:
 
 
 def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chunk_bytes: int, range_bytes: int, most: int) -> DataFrame:
-    """Rows of two kinds: documents (place long, doc_id, z: compressed text, spans: removed outright) and fragments
-    (place, doc_id, anchor, start, z: the bytes of a contested region, hot: its anchor has over `most` regions)."""
+    """Rows of two kinds: documents (place long, doc_id, rest: the other columns, z: compressed text, spans: removed
+    outright) and fragments (place, doc_id, anchor, start, z: the bytes of a contested region, hot: its anchor has over `most` regions)."""
     n_chunks, bits = plan(docs, text_col, chunk_bytes, range_bytes)
-    schema = "place long, doc_id long, chunk int, z binary"
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
+    rest = T.StructField("rest", docs.select(F.struct(*others).alias("rest")).schema["rest"].dataType)
+    long, binary = T.LongType(), T.BinaryType()
+    schema = T.StructType([T.StructField("place", long), T.StructField("doc_id", long), rest, T.StructField("chunk", T.IntegerType()), T.StructField("z", binary)])
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("place"), b.column("doc_id"), b.column("chunk"), pa.array([packer.compress(t) for t in b.column("t").to_pylist()], pa.binary())], names=["place", "doc_id", "chunk", "z"])
+            z = pa.array([packer.compress(t) for t in b.column("t").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("place", "doc_id", "rest", "chunk")), z], names=["place", "doc_id", "rest", "chunk", "z"])
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).cast("long").alias("doc_id"), chunk_of(n_chunks).alias("chunk"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("place"), F.col(id_col).cast("long").alias("doc_id"), F.struct(*others).alias("rest"), chunk_of(n_chunks).alias("chunk"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     texts = spread(numbered.mapInArrow(squeeze, schema), "chunk", n_chunks)
 
     def read(table: pa.Table) -> tuple[list[bytes], np.ndarray, pa.Table]:
@@ -193,12 +198,14 @@ def split_regions(docs: DataFrame, *, id_col: str, text_col: str, size: int, chu
         frag = [(places[row[x]], docs[row[x]], int(anchor[x].view(np.int64)), int(first[x]), texts[row[x]][first[x] : last[x] + size], bool(contested[distinct[x]] > 1)) for x in ask]
         f = list(zip(*frag, strict=True)) or [()] * 6
         cols = [(places + list(f[0]), pa.int64()), (docs + list(f[1]), pa.int64()), ([None] * n + list(f[2]), pa.int64()), ([None] * n + list(f[3]), pa.int64()), (left["z"].to_pylist() + list(f[4]), pa.binary()), (spans + [None] * len(frag), pa.binary()), ([None] * n + list(f[5]), pa.bool_())]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in cols], names=["place", "doc_id", "anchor", "start", "z", "spans", "hot"])
+        own = pa.chunked_array([*left["rest"].chunks, pa.nulls(len(frag), left["rest"].type)], left["rest"].type)
+        return pa.Table.from_arrays([*(pa.array(c, t) for c, t in cols), own], names=["place", "doc_id", "anchor", "start", "z", "spans", "hot", "rest"])
 
     sent = texts.groupBy("chunk").applyInArrow(emit, "chunk int, range int, keys binary, regions binary, earliest binary")
     told = spread(sent, "range", 1 << bits).groupBy("range").applyInArrow(meet, "chunk int, range int, told binary, contested binary")
     both = texts.groupBy("chunk").cogroup(spread(told, "chunk", n_chunks).groupBy("chunk"))
-    return both.applyInArrow(answer, "place long, doc_id long, anchor long, start long, z binary, spans binary, hot boolean")
+    told_of = [("place", long), ("doc_id", long), ("anchor", long), ("start", long), ("z", binary), ("spans", binary), ("hot", T.BooleanType())]
+    return both.applyInArrow(answer, T.StructType([*(T.StructField(n, t) for n, t in told_of), rest]))
 
 
 def repeated_strings(fragments: DataFrame, *, size: int) -> DataFrame:
@@ -243,13 +250,13 @@ def repeated_spans(fragments: DataFrame, *, size: int, shard_bytes: int, memory:
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 50, chunk_bytes: int = 8 << 20, range_bytes: int = 8 << 20, shard_bytes: int = 1 << 20, memory: int = 256 << 20, most: int = 4096) -> DataFrame:
-    """Per input row: place (its number in the input), doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_text
-    (string, with every character of which a byte stays), spans.
+    """Per input row: place (its number), rest (struct of the columns beside the text, whatever their names), doc_id,
+    n_bytes, n_removed, n_spans, kept (binary), kept_text (string, with every character of which a byte stays), spans.
 
     Removes each byte covered by a `size`-byte string that also starts in a document with a smaller id; strings
     are judged on the input. Null and too short texts lose nothing; rows that repeat an id are one document to
-    each other; null ids come after all others; an empty table gives no rows. Other input columns stay with
-    the caller, who joins them by `place` = monotonically_increasing_id() of the same stored input. Ids are longs.
+    each other; null ids come after all others; an empty table gives no rows. Other input columns go along in `rest`,
+    so that nothing has to be joined to the input again. Ids are longs.
     """
     both = stored(split_regions(docs, id_col=id_col, text_col=text_col, size=size, chunk_bytes=chunk_bytes, range_bytes=range_bytes, most=most), "regions")
     texts, fragments = both.filter("anchor is null"), both.filter("anchor is not null")
@@ -272,10 +279,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 runs.append(len(joined))
                 out.append([{"start": a, "end": b} for a, b in joined.tolist()])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, gone, runs)), pa.array(kept, pa.binary()), pa.array(whole, pa.string()), pa.array(out, span)], names=["place", "doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("rest"), batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, gone, runs)), pa.array(kept, pa.binary()), pa.array(whole, pa.string()), pa.array(out, span)], names=["place", "rest", "doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "spans"])
 
-    joined = texts.select("place", "doc_id", "z", "spans").join(found, "place", "left")
-    return joined.mapInArrow(cut, "place long, doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, spans array<struct<start: long, end: long>>")
+    joined = texts.select("place", "rest", "doc_id", "z", "spans").join(found, "place", "left")
+    made = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, spans array<struct<start: long, end: long>>")
+    return joined.mapInArrow(cut, T.StructType([joined.schema["place"], joined.schema["rest"], *made.fields]))
 
 
 def suffix_query(spark, sf_dir: str) -> DataFrame:
