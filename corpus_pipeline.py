@@ -34,12 +34,9 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Null texts become empty, as may whole copies; rows that repeat an id lose nothing to each other; null ids
     come last; an empty table gives no rows; other columns, whatever their names, stay as they are.
     """
-    kept = suffix_dedup.remove_repeats(docs).select(F.col("place").alias("__kept"), F.col("kept_text").alias("__text"))
-    rest = docs.drop("text").withColumn("__place", F.monotonically_increasing_id())
-    joined = rest.join(kept, F.col("__place") == F.col("__kept")).withColumn("text", F.col("__text"))
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+    kept = suffix_dedup.remove_repeats(docs).select("rest", F.col("kept_text").alias("text"))
+    own = {"text": F.col("text"), "n_chars": F.length("text")}
+    return kept.select(*[own.get(c, F.col("rest")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
