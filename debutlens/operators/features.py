@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import clip, number, ratio
 from ..sources.store import stored
+from . import timeline
 from .quantiles import exact_percentiles
 
 #: Weights of the commitment periods.
@@ -121,42 +122,29 @@ def asof_momentum(listings: DataFrame, index: DataFrame, code: str, prefix: str,
     return out.fillna(0.0, [f"{prefix}_momentum_{k}d" for k in spans])
 
 
-def recent_mean(df: DataFrame, value: str, n: int, out: str, *, group: str | None = None, date: str = "listing_date", key: str = "listing_id", strict_date: bool = False, known: DataFrame | None = None) -> DataFrame:
+def recent_mean(df: DataFrame, value: str, n: int, out: str, *, group: str | None = None, date: str = "listing_date", key: str = "listing_id", strict_date: bool = False) -> DataFrame:
     """Mean of the last `n` known values before each row by (date, key), in its group if given; none: NULL.
 
-    Rows are dealt by month; each month is given, as seeds, the last `n` known rows of all months before it,
-    carried forward over a table of `n` rows a month. So no task sorts more than a month of a group and `n` rows.
-    With `strict_date` results of the same date don't count. Rows stay as they are, repeated keys too; rows without
-    a date get NULL. `known`: the same rows, if a stored table has them, to make the seeds from.
+    Rows are dealt into slices of bounded rows by range, and each slice is given the last `n` known rows before it
+    (`timeline`). With `strict_date` results of the same date don't count, and a date is one slice's. Rows stay as they
+    are, repeated keys too; rows without a date get NULL.
+    """
+    order = [*([group] if group else []), date, *([] if strict_date else [key])]
+    rows = timeline.dealt(stored(df.filter(F.col(date).isNotNull()), "dated"), order)
+    means = timeline.mean_of_last(rows, value, n, out, by=[group] if group else [], time=date, key=key, strict_time=strict_date)
+    return means.drop(timeline.SLICE).union(df.filter(F.col(date).isNull()).withColumn(out, F.lit(None).cast("double")))
+
+
+def with_temperature(df: DataFrame, value: str = "open_return_pct", sector: str = "sector_name", date: str = "listing_date", key: str = "listing_id") -> DataFrame:
+    """Mean of the last 10 known returns, and of the last 5 in the sector (else, or without a sector, the former).
+
+    Both read the same slices of (date, key): a slice is sorted once for all and once by sector within it.
     """
-    source = (known if known is not None else df).filter(F.col(date).isNotNull())
-    at = [F.coalesce(F.col(group).cast("string"), F.lit("")).alias("__g") if group else F.lit("").alias("__g"), F.trunc(F.col(date), "month").alias("__m")]
-    own = [F.col(date).alias("__d"), F.col(key).alias("__k"), F.col(value).cast("double").alias("__v")]
-    base = source.filter(F.col(value).isNotNull()).select(*at, *own)
-    newest = Window.partitionBy("__g", "__m").orderBy(F.desc("__d"), F.desc("__k"))
-    tails = base.withColumn("__r", F.row_number().over(newest)).filter(F.col("__r") <= n)
-    tail_rows = tails.groupBy("__g", "__m").agg(F.collect_list(F.struct("__d", "__k", "__v")).alias("tail"))
-    months = source.select(*at).distinct()
-    # the last n known rows lie in the last n months that have any, so months without are passed over first
-    by_month = Window.partitionBy("__g").orderBy("__m")
-    filled = tail_rows.withColumn("upto", F.slice(F.reverse(F.array_sort(F.flatten(F.collect_list("tail").over(by_month.rowsBetween(-n, 0))))), 1, n))
-    before_month = by_month.rowsBetween(Window.unboundedPreceding, -1)
-    seeded = months.join(filled.select("__g", "__m", "upto"), ["__g", "__m"], "left").withColumn("seeds", F.last("upto", ignorenulls=True).over(before_month))
-    seeds = seeded.select("__g", "__m", F.explode("seeds").alias("s")).select("__g", "__m", "s.*", F.lit(None).cast(df.select(F.struct("*").alias("x")).schema["x"].dataType).alias("__row"))
-    every = df.filter(F.col(date).isNotNull()).select(*at, *own, F.struct("*").alias("__row")).union(seeds)
-    order = Window.partitionBy("__g", "__m", F.col("__v").isNotNull()).orderBy("__d", "__k").rowsBetween(-(n - 1), 0)
-    running = every.withColumn("__a", F.when(F.col("__v").isNotNull(), F.avg("__v").over(order)))
-    before = Window.partitionBy("__g", "__m").orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, -1)
-    if strict_date:
-        before = Window.partitionBy("__g", "__m").orderBy(F.datediff("__d", F.lit("1970-01-01"))).rangeBetween(Window.unboundedPreceding, -1)
-    means = running.withColumn(out, F.last("__a", ignorenulls=True).over(before)).filter("__row is not null").select("__row.*", out)
-    return means.union(df.filter(F.col(date).isNull()).withColumn(out, F.lit(None).cast("double")))
-
-
-def with_temperature(df: DataFrame, value: str = "open_return_pct", sector: str = "sector_name") -> DataFrame:
-    """Mean of the last 10 known returns, and of the last 5 in the sector (else, or without a sector, the former)."""
     rows = stored(df, "returns")
-    both = recent_mean(rows, value, 10, "recent_ipo_avg_return_all")
-    own = recent_mean(both, value, 5, "recent_ipo_avg_return_sector", group=sector, known=rows)
+    dealt = timeline.dealt(rows.filter(F.col(date).isNotNull()), [date, key])
+    both = timeline.mean_of_last(dealt, value, 10, "recent_ipo_avg_return_all", time=date, key=key)
+    own = timeline.mean_of_last(both, value, 5, "recent_ipo_avg_return_sector", by=[sector], time=date, key=key, seeds_from=dealt).drop(timeline.SLICE)
+    none = F.lit(None).cast("double")
+    undated = rows.filter(F.col(date).isNull()).withColumns({"recent_ipo_avg_return_all": none, "recent_ipo_avg_return_sector": none})
     fallback = F.col("recent_ipo_avg_return_all")
-    return own.withColumn("recent_ipo_avg_return_sector", F.when(F.col(sector).isNull(), fallback).otherwise(F.coalesce("recent_ipo_avg_return_sector", fallback)))
+    return own.unionByName(undated).withColumn("recent_ipo_avg_return_sector", F.when(F.col(sector).isNull(), fallback).otherwise(F.coalesce("recent_ipo_avg_return_sector", fallback)))

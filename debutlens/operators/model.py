@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from .diagnostics import risk_grade
 from ..sources.store import stored
 from .joins import chronological_tail, walk_windows, with_rank
-from .quantiles import exact_percentiles, medians
+from .trees import nodes_of
+from .quantiles import exact_percentiles, expanding_medians
 
 #: The reference settings of the trees.
 SETTINGS = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": 42}
@@ -43,6 +44,11 @@ class ReturnModel:
         self.q50, self.q90 = (q or 0.0 for q in exact_percentiles(errors, "e", {"q50": 0.5, "q90": 0.9}).first())
         return self
 
+    def nodes(self) -> dict[str, list[tuple]]:
+        """The nodes of both ensembles (`trees.NODES`), by name; no classifier where it fell back."""
+        found = {"regressor": nodes_of(self.regressor.stages[-1], self.features)}
+        return found | ({"classifier": nodes_of(self.classifier.stages[-1], self.features)} if self.classifier else {})
+
     def predict(self, df: DataFrame) -> DataFrame:
         out = self.regressor.transform(df.withColumns({c: F.col(c).cast("double") for c in self.features}))
         if self.classifier:
@@ -118,11 +124,14 @@ def final_model(rows: DataFrame, features: list[str], target: str, order: list[s
 def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_return_pct", date: str = "listing_date", key: str = "listing_id", keep: tuple[str, ...] = (), threads: int = 2, windows: dict | None = None, **settings) -> DataFrame:
     """Predictions of every window (rows may be in two): context columns `keep`, actual, pred, intervals, window.
 
-    Each window trains on the rows before its split: NULLs take the slice's medians, the last 15 % (5 at least)
-    calibrate. Windows are a few dozen and run from a small pool of threads; a failed window is left out.
+    Each window trains on the rows before its split: NULLs take the slice's medians, which one pass over the rows gives
+    for all windows, and the last 15 % (5 at least) calibrate. Windows are a few dozen and run from a small pool of threads; a failed window is left out.
     """
     known = stored(rows.filter(F.col(target).isNotNull()), "known-rows")
     table = walk_windows(known, date, **(windows or {})).orderBy("window").collect()  # a few dozen dates
+    fills = {w["window"]: dict.fromkeys(features, 0.0) for w in table}
+    for r in expanding_medians(known, features, date, [w["split"] for w in table]).collect():  # a row per window and feature
+        fills[table[r["window"]]["window"]][r["feature"]] = r["median"]
 
     def run(w) -> DataFrame | None:
         try:
@@ -134,10 +143,10 @@ def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_re
     def one(w) -> DataFrame:
         train = known.filter(F.col(date) < F.lit(w["split"]))
         valid = known.filter((F.col(date) >= F.lit(w["split"])) & (F.col(date) < F.lit(w["valid_end"])))
-        fills = {c: float(v if v is not None else 0.0) for c, v in medians(train, features).items()}
-        tailed = chronological_tail(train.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.items()}), max(5, int(0.15 * w["n_train"])), [date, key])
+        filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills[w["window"]].items()}
+        tailed = chronological_tail(train.withColumns(filled), max(5, int(0.15 * w["n_train"])), [date, key])
         model = ReturnModel(features, target, **settings).fit(tailed.filter("not is_tail"), tailed.filter("is_tail"))
-        scored = model.predict(valid.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in fills.items()}))
+        scored = model.predict(valid.withColumns(filled))
         return scored.select(key, date, *keep, F.col(target).alias("actual"), "pred", "up_prob", "ci_90_low", "ci_90_high", "ci_50_low", "ci_50_high", "risk_grade", (F.col(target) - F.col("pred")).alias("error"), F.abs(F.col(target) - F.col("pred")).alias("abs_error"), F.lit(w["window"]).alias("window"))
 
     with ThreadPoolExecutor(threads) as pool:

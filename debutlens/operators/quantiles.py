@@ -44,6 +44,39 @@ def exact_percentiles(df: DataFrame, value: str, wanted: dict[str, float], by: S
     return found.select(*[F.col("g")[k].alias(k) for k in by], *[between(name) for name in wanted])
 
 
+def expanding_medians(df: DataFrame, columns: Sequence[str], date: str, splits: Sequence) -> DataFrame:
+    """window (place in `splits`, which ascend), feature, median: of each column over the rows before each split.
+
+    One pass for all windows: values are counted by (range of values, block of dates between splits) and stored; the
+    sums per range and block, added up over blocks, tell which range holds a window's ranks, and only the counts of such
+    ranges are added up value by value. NULL values don't count; a column without values before a split is absent.
+    """
+    if not columns or not len(splits):
+        return df.sparkSession.createDataFrame([], "window int, feature string, median double")
+    block = F.size(F.filter(F.array(*[F.lit(s).cast("date") for s in splits]), lambda s: s <= F.col(date))).alias("block")
+    rows = df.filter(F.col(date) < F.lit(splits[-1]).cast("date")).select(block, *[F.col(c).cast("double").alias(c) for c in columns])
+    long = rows.unpivot(["block"], list(columns), "feature", "v").filter("v is not null")
+    counts = long.groupBy("feature", "v", "block").agg(F.count(F.lit(1)).alias("c"))
+    n_slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = stored(counts.repartitionByRange(n_slices, "feature", "v").withColumn("slice", F.spark_partition_id()), "value-counts")
+
+    # a row per feature, range and window: a block counts for its own window and all later ones
+    windows = F.sequence(F.col("block"), F.lit(len(splits) - 1))
+    sums = sliced.groupBy("feature", "slice", "block").agg(F.sum("c").alias("m"))
+    sizes = sums.select("feature", "slice", "m", F.explode(windows).alias("window")).groupBy("feature", "window", "slice").agg(F.sum("m").alias("m"))
+    of_window = Window.partitionBy("feature", "window")
+    sizes = sizes.withColumn("below", F.sum("m").over(of_window.orderBy("slice")) - F.col("m")).withColumn("n", F.sum("m").over(of_window))
+    low, high = F.expr("(n - 1) div 2"), F.expr("n div 2")
+    holds = sizes.filter(((low >= F.col("below")) & (low < F.col("below") + F.col("m"))) | ((high >= F.col("below")) & (high < F.col("below") + F.col("m"))))
+
+    near = sliced.join(holds.select("feature", "slice", "window", "below", "n"), ["feature", "slice"]).filter(F.col("block") <= F.col("window"))
+    values = near.groupBy("feature", "window", "slice", "v").agg(F.sum("c").alias("c"), F.first("below").alias("below"), F.first("n").alias("n"))
+    ended = values.withColumn("end", F.col("below") + F.sum("c").over(Window.partitionBy("feature", "window", "slice").orderBy("v")))
+    first = lambda rank: F.min(F.when(F.col("end") > rank, F.col("v")))
+    found = ended.groupBy("feature", "window").agg(first(low).alias("a"), first(high).alias("b"))
+    return found.select(F.col("window").cast("int").alias("window"), "feature", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((F.col("a") + F.col("b")) / 2).alias("median"))
+
+
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """The median of each column; of one without values None."""
     if not columns:

@@ -20,7 +20,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = f"WITH {P.CTE.strip()}\n{sql.strip()}" if "p_" in sql and not sql.startswith("SELECT feature, round(importance") else sql.strip()
+            SQL[f.__name__] = f"WITH {P.CTE.strip()}\n{sql.strip()}" if "p_" in sql and not sql.startswith("SELECT feature, round(importance") and not sql.lstrip().startswith("WITH ") else sql.strip()
         return f
 
     return add

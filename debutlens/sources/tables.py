@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import clean_name, conform, day, is_equity_title, number
 
+#: The columns of the canonical tables.
 SCHEMAS = {
+    "ipo_master": "id long, corp_code string, corp_name string, ticker string, market string, sector_code string, sector_name string, rcept_no string, demand_start timestamp, demand_end timestamp, sub_start timestamp, sub_end timestamp, listing_date timestamp, price_band_low long, price_band_high long, offering_price long, new_shares long, secondary_shares long, total_shares_post long, lead_underwriter string, open_price double, close_price double, open_return double, close_return double, created_at timestamp, updated_at timestamp",
+    "ipo_features": "id long, ipo_id long, institutional_demand_ratio double, retail_subscription_ratio double, lockup_6m_ratio double, lockup_3m_ratio double, lockup_1m_ratio double, lockup_15d_ratio double, lockup_weighted_score double, offering_price_band_position double, band_exceeded boolean, kospi_momentum_5d double, kospi_momentum_20d double, recent_ipo_avg_return_sector double, recent_ipo_avg_return_all double, float_share_ratio double, secondary_offering_ratio double, major_shareholder_lockup_months int, same_day_ipo_count int, risk_factor_count int, underwriter_tier int, offering_per double, per_vs_sector_median double, revenue_growth_3y double, operating_margin double, debt_ratio double, kospi_momentum_60d double, kosdaq_momentum_20d double, bear_market_flag boolean, news_mention_count_7d int, financial_attractiveness double, attractiveness_grade string, feature_version string, computed_at timestamp",
     "filings_raw": "rcept_no string, corp_code string, corp_name string, report_nm string, rcept_dt date, html string",
     "accounts_long": "corp_code string, year int, account string, amount double",
     "listing_calendar": "ticker string, corp_name string, listing_date date, market string, sector_name string, same_day_ipo_count long",
@@ -56,12 +60,15 @@ def not_yet(batch: DataFrame, done: DataFrame, key: str = "rcept_no") -> DataFra
 
 
 def append_new(batch: DataFrame, path: str, key: str = "rcept_no") -> None:
-    """Appends what isn't stored yet; the first call creates the table. Partitioned by year of receipt."""
+    """Appends what isn't stored yet; the first call creates the table. Partitioned by year of receipt.
+
+    For one writer at a time; `versions.VersionedTable.append` commits a batch once, whoever else writes.
+    """
     spark = batch.sparkSession
     try:
         batch = not_yet(batch, spark.read.parquet(path), key)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
     batch.withColumn("year", F.year("rcept_dt")).write.mode("append").partitionBy("year").parquet(path)
 
