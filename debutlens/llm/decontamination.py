@@ -120,7 +120,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_
     same = F.filter("met", lambda x: F.array_join(F.slice("words", x["start"] + 1, x["len"]), " ") == x["said"])
     found = told.select("place", F.inline(same)).select("place", F.struct("start", "len").alias("span"), "items")
     per_row = stored(found.groupBy("place").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")), "hits")
-    return rows.select("row", "place", "id", "n_words").join(small_side(per_row), "place", "left")
+    named = per_row.agg(F.sum(F.size("spans") + F.size("items"))).first()[0] or 0
+    return rows.select("row", "place", "id", "n_words").join(small_side(per_row, rows=named), "place", "left")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
