@@ -121,11 +121,12 @@ def final_model(rows: DataFrame, features: list[str], target: str, order: list[s
     return ReturnModel(features, target, **settings).fit(tailed.filter("not is_tail"), tailed.filter("is_tail"))
 
 
-def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_return_pct", date: str = "listing_date", key: str = "listing_id", keep: tuple[str, ...] = (), threads: int = 2, windows: dict | None = None, **settings) -> DataFrame:
+def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_return_pct", date: str = "listing_date", key: str = "listing_id", keep: tuple[str, ...] = (), threads: int = 2, windows: dict | None = None, failed: list | None = None, **settings) -> DataFrame:
     """Predictions of every window (rows may be in two): context columns `keep`, actual, pred, intervals, window.
 
     Each window trains on the rows before its split: NULLs take the slice's medians, which one pass over the rows gives
-    for all windows, and the last 15 % (5 at least) calibrate. Windows are a few dozen and run from a small pool of threads; a failed window is left out.
+    for all windows, and the last 15 % (5 at least) calibrate. Windows are a few dozen and run from a small pool of threads. A failed window
+    is left out and told in `failed` (window, reason); if all fail, so does this.
     """
     known = stored(rows.filter(F.col(target).isNotNull()), "known-rows")
     table = walk_windows(known, date, **(windows or {})).orderBy("window").collect()  # a few dozen dates
@@ -133,11 +134,14 @@ def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_re
     for r in expanding_medians(known, features, date, [w["split"] for w in table]).collect():  # a row per window and feature
         fills[table[r["window"]]["window"]][r["feature"]] = r["median"]
 
+    reasons = [] if failed is None else failed
+
     def run(w) -> DataFrame | None:
         try:
             return one(w)
-        except Exception:  # noqa: BLE001
+        except Exception as e:  # noqa: BLE001
             logging.getLogger(__name__).exception("window %s is left out", w["window"])
+            reasons.append((w["window"], f"{type(e).__name__}: {e}"))
             return None
 
     def one(w) -> DataFrame:
@@ -151,6 +155,8 @@ def walk_forward(rows: DataFrame, features: list[str], *, target: str = "open_re
 
     with ThreadPoolExecutor(threads) as pool:
         parts = [p for p in pool.map(run, table) if p is not None]
+    if table and not parts:
+        raise RuntimeError(f"all {len(table)} windows failed, the first by {min(reasons)[1]}")
     if not parts:
         return rows.sparkSession.createDataFrame([], f"{key} long, {date} date, actual double, pred double, up_prob double, ci_90_low double, ci_90_high double, ci_50_low double, ci_50_high double, risk_grade string, error double, abs_error double, window int")
     out = parts[0]

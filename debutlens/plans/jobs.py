@@ -139,13 +139,13 @@ def backtest_results(spark, d):
 
 @query()
 def walk_forward_backtest(spark, d):
-    """A back-test of all listings by windows two years apart, with few rounds of small trees; a test compares the parts."""
-    out = model.walk_forward(model_rows(spark, d), MODEL_FEATURES, keep=("corp_name",), windows={"step_days": 720}, maxIter=3, maxDepth=3)
+    """A back-test of all listings by all windows, with few rounds of small trees; a test compares the parts."""
+    out = model.walk_forward(model_rows(spark, d), MODEL_FEATURES, keep=("corp_name",), threads=4, maxIter=3, maxDepth=3)
     return diagnostics.window_metrics(out)
 
 
 @query()
 def cross_validated(spark, d):
-    """Mean error over three consecutive folds of all listings, with few rounds of small trees."""
+    """Mean error over five consecutive folds of all listings, with few rounds of small trees."""
     rows = stored(model_rows(spark, d).fillna(0.0, MODEL_FEATURES), "model-rows")
-    return model.cross_validate(rows, MODEL_FEATURES, "open_return_pct", ["listing_date", "listing_id"], 3, maxIter=3, maxDepth=3)
+    return model.cross_validate(rows, MODEL_FEATURES, "open_return_pct", ["listing_date", "listing_id"], 5, maxIter=3, maxDepth=3)
