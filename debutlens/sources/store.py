@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +31,38 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_lock, _writers = threading.Lock(), {}
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Removes the shuffle files of the queries within as each ends, not when the driver happens to collect garbage.
+
+    The session's own setting holds again when the last thread leaves.
+    """
+    with _lock:
+        n, before = _writers.get(spark, (0, spark.conf.get(RELEASE, None)))
+        _writers[spark] = (n + 1, before)
+        spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _writers.pop(spark)
+            if n > 1:
+                _writers[spark] = (n - 1, before)
+            elif before is None:
+                spark.conf.unset(RELEASE)
+            else:
+                spark.conf.set(RELEASE, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes `df` as a table in the shared folder and reads it back."""
+    """Cuts the lineage: writes `df` as a table in the shared folder and reads it back. Its shuffles are gone with that."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with released(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out
