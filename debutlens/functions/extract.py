@@ -1,15 +1,12 @@
-"""Fields of filing texts as one native projection; full entity decoding is the one vectorised UDF."""
+"""Fields of filing texts as one native projection."""
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .cleaning import clip, first_column, number
+from .entities import unescaped
 
 #: The labels and patterns of the filings' fields, and the underwriters of either tier.
 BAND = "희망\\s*공모가[^0-9]*([0-9,]+)\\s*[~～]\\s*([0-9,]+)"
@@ -30,11 +27,6 @@ TIER_1 = ("NH투자증권", "한국투자증권", "미래에셋증권", "KB증
 TIER_2 = ("대신증권", "키움증권", "신영증권", "유안타증권", "교보증권", "하이투자증권", "IBK투자증권", "DB금융투자", "메리츠증권", "현대차증권", "유진투자증권", "한화투자증권", "SK증권")
 
 
-@F.pandas_udf(T.StringType())
-def unescaped(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 def plain_text(c: Column) -> Column:
     """Tags to spaces, entities decoded, white space (no-break spaces too) collapsed and trimmed."""
     return F.trim(F.regexp_replace(unescaped(F.regexp_replace(c, "<[^>]+>", " ")), "(?U)\\s+", " "))
