@@ -75,6 +75,16 @@ def available(df: DataFrame, features: list[Feature]) -> tuple[list[str], list[s
     return [f.name for f in features if f.name in have], [f.name for f in features if f.name not in have]
 
 
+def coverage(df: DataFrame) -> DataFrame:
+    """The catalog's rows with `available` (the table has the column) and n_values, its numbers; NULL where it lacks it."""
+    here, _ = available(df, FEATURES)
+    out = catalog(df.sparkSession)
+    if not here:
+        return out.withColumns({"available": F.lit(False), "n_values": F.lit(None).cast("long")})
+    counts = df.agg(*[F.count(number(F.col(c))).alias(c) for c in here]).unpivot([], here, "name", "n_values")
+    return out.join(F.broadcast(counts), "name", "left").withColumn("available", F.col("n_values").isNotNull())  # a row per feature
+
+
 class FittedImputer:
     """Fill values by feature. `transform` is one projection: coerce, fill, clip (clipped before the fill too, it is the same)."""
 

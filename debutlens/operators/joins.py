@@ -6,15 +6,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_name
+from ..sources.store import stored
 
 
-def by_clean_name(filings: DataFrame, listings: DataFrame, name: str = "corp_name") -> DataFrame:
-    """Filings with listings of the same cleaned name; the listing side gives name, date and sector. No null names."""
+def by_clean_name(filings: DataFrame, listings: DataFrame, name: str = "corp_name", most: int | None = None) -> DataFrame:
+    """Filings with listings of the same cleaned name; the listing side gives name, date and sector. No null names.
+
+    With `most`, names of more rows than that are split (`split_join`), for tables in which a name is a large share of both sides.
+    """
     left = filings.drop("listing_date", "sector_name").withColumn("corp_name_clean", clean_name(F.col(name))).drop(name)
     right = listings.withColumn("corp_name_clean", clean_name(F.col(name)))
+    if most:
+        return split_join(left, right, "corp_name_clean", most)
     return left.filter("corp_name_clean is not null").join(right, "corp_name_clean")
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str, most: int = 1_000_000) -> DataFrame:
+    """Inner join, every pair, of two tables of which one key may hold a large share on both sides.
+
+    Both sides are numbered and stored once. A key with more than `most` rows on a side is dealt by the hash of those numbers
+    into slices of about `most` rows, and the other side's rows of that key go to each slice: the join is by key and
+    slices, so no task holds more than about `most` rows of a side for one key. Where a side has over 100 000 times
+    `most` rows, `most` is a hundred-thousandth of them; so at most 200 000 keys are dealt, and their counts are broadcast.
+    NULL keys match nothing, repeated rows give every pair, other columns must have different names.
+    """
+    own = [c for c in right.columns if c != key]
+    clash = sorted({c.lower() for c in own} & {c.lower() for c in left.columns})
+    if clash:
+        raise ValueError(f"both sides have {', '.join(clash)}")
+    place = F.monotonically_increasing_id().alias("n")
+    a, b = (stored(df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.struct("*").alias("row"), place), "side") for df in (left, right))
+    na, nb = (df.groupBy("k").agg(F.count(F.lit(1)).alias("c")) for df in (a, b))
+    most = max(most, *(side.count() // 100_000 for side in (a, b)))
+    parts = lambda c: F.ceil(F.col(c) / most).cast("int")
+    hot = na.filter(F.col("c") > most).select("k").union(nb.filter(F.col("c") > most).select("k")).distinct()
+    counts = na.withColumnRenamed("c", "ca").join(nb.withColumnRenamed("c", "cb"), "k")
+    dealt = stored(counts.join(F.broadcast(hot), "k", "left_semi").select("k", parts("ca").alias("pa"), parts("cb").alias("pb")), "dealt")
+
+    def cells(side: DataFrame, mine: str, other: str) -> DataFrame:
+        known = side.join(F.broadcast(dealt), "k", "left").na.fill(1, ["pa", "pb"])
+        slice_of = F.pmod(F.xxhash64("n"), F.col(f"p{mine}")).cast("int").alias(f"s{mine}")
+        return known.select("k", "row", slice_of, F.explode(F.sequence(F.lit(0), F.col(f"p{other}") - 1)).alias(f"s{other}"))
+
+    pairs = cells(a, "a", "b").withColumnRenamed("row", "left").join(cells(b, "b", "a").withColumnRenamed("row", "right"), ["k", "sa", "sb"])
+    return pairs.select(F.col("k").alias(key), *[F.col("left")[c].alias(c) for c in left.columns if c != key], *[F.col("right")[c].alias(c) for c in own])
+
+
 def with_prices(listings: DataFrame, prices: DataFrame) -> DataFrame:
     """Listings with the prices of their first day; one price row per listing at most, absent ones are NULL."""
     day = prices.groupBy("ticker", "listing_date").agg(F.min(F.struct(*[c for c in prices.columns if c not in ("ticker", "listing_date")])).alias("__p"))

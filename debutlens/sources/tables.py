@@ -42,12 +42,28 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return conform(spark.read.parquet(path), schema(name))
 
 
-def read_pages(spark: SparkSession, path: str, field: str, row: str) -> DataFrame:
-    """Landed JSON pages whose array `field` holds flat objects of the DDL `row`: one row per object."""
-    pages = spark.read.schema(f"{field} array<struct<{row}>>").option("multiLine", True).json(path)
+def read_pages(spark: SparkSession, path: str, field: str, row: str, lines: bool = False) -> DataFrame:
+    """Landed JSON pages whose array `field` holds flat objects of the DDL `row`: one row per object.
+
+    A file is one page, however laid out; with `lines` it holds a page per line, so that large files are split. A page
+    that isn't JSON, or has no such array, gives no row.
+    """
+    pages = spark.read.schema(f"{field} array<struct<{row}>>").option("multiLine", not lines).json(path)
     return pages.select(F.inline(field))
 
 
+#: The columns of a landed page of the listing calendar, and their canonical names.
+CALENDAR_PAGE = {"ISU_CD": "ticker", "ISU_ABBRV": "corp_name", "LIST_DD": "listing_date", "MKT_TP_NM": "market", "SECT_TP_NM": "sector_name"}
+
+
+def landed_calendar(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The listing calendar of landed pages, in its canonical columns, with the number of listings of each day."""
+    raw = read_pages(spark, path, "output", ", ".join(f"{c} string" for c in CALENDAR_PAGE), lines).withColumnsRenamed(CALENDAR_PAGE)
+    dated = raw.withColumn("listing_date", F.coalesce(day(F.col("listing_date"), "yyyy/MM/dd"), day(F.col("listing_date"), "yyyy-MM-dd")))
+    crowd = dated.filter("listing_date is not null").groupBy("listing_date").agg(F.count(F.lit(1)).alias("same_day_ipo_count"))
+    return conform(dated.join(crowd, "listing_date", "left"), schema("listing_calendar"))
+
+
 def filings(raw: DataFrame) -> DataFrame:
     """Equity filings of a landed list."""
     dated = raw.filter(is_equity_title(F.col("report_nm"))).withColumn("rcept_dt", day(F.col("rcept_dt")))
