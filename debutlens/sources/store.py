@@ -78,6 +78,12 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written the folder to its end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def discard(df: DataFrame) -> None:
     """Removes a table that `stored` returned, for whoever knows that nothing reads it any more."""
     delete(df.sparkSession, _PATHS.pop(df))
