@@ -92,7 +92,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024,
     """doc_id, piece, start, length, ids (binary, little-endian unsigned 32 bits), ids_crc32.
 
     Each document's ids end with `end_id`. Longer ones than `capacity` are cut into whole pieces; the rest is
-    the first piece. Null texts are empty; every row, repeated ones too, gives at least one piece.
+    the first piece. Null texts are empty; every row, repeated ones too, gives at least one piece. Ids are longs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

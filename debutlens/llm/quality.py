@@ -74,7 +74,10 @@ def class_counts(of_byte: np.ndarray) -> np.ndarray:
 
 
 def repeated_words(words: list[bytes], size: int = 8) -> int:
-    """Words inside windows of `size` words that occur twice or more in the text, the first included."""
+    """Words inside windows of `size` words that occur twice or more in the text, the first included.
+
+    Windows of one text are told apart by 64-bit hashes of their words, and not compared word by word.
+    """
     n = len(words) - size + 1
     if n < 2 or len(set(words)) == len(words):
         return 0

@@ -42,6 +42,7 @@ def with_revisits(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
     URL is empty, null ids come after all others. Digests that repeat are stored with their first id; hot ones,
     of which there are fewer than `hot_share`, are broadcast, so that their records stay where they are, and only
     other records look theirs up by a shuffle, if that table is too large to broadcast. `pages` must be a stored table.
+    Ids are longs.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("record_id"), F.coalesce(F.col(url_col), F.lit("")).alias("target_uri"), payload.alias("payload"))
