@@ -3,9 +3,11 @@
 Pieces are dealt evenly to slices, and a slice runs rounds on its own task. Its pieces and gaps lie sorted by size,
 and since sizes are whole numbers up to the capacity, each size is one class of any number of members. In a round
 every class of pieces seeks its successor, the smallest gap that holds it, in one sweep over both; where several
-seek one class of gaps, the larger go first and the k-th piece takes the k-th gap; gaps are updated, pieces without
-a successor open as many sequences as their tokens need, and the rest tries again. A task sees only its slice's two
-histograms, `capacity` classes at most; pieces are ranked and placed by distributed windows and joins.
+seek one class of gaps, the larger go first and the k-th piece takes the k-th gap; gaps are updated and the rest tries
+again. Of the pieces without a successor, those above half the capacity open a sequence each; where none is so large,
+the class of the largest opens as many as it fills. So a slice needs no more sequences than best fit by falling size,
+but for a few. A task sees only its slice's two histograms, `capacity` classes at most; pieces are ranked and placed by
+distributed windows and joins.
 """
 
 from __future__ import annotations
@@ -128,7 +130,10 @@ def best_fit_rounds(sizes: dict[int, int], capacity: int) -> list[tuple[int, int
         successor = np.searchsorted(known, left[:, 0])  # the sweep; pieces lie by falling size, so larger ones go first
         made: dict[int, list[tuple[int, int]]] = defaultdict(list)
         stuck = successor == len(known)
-        need = max(int(left[stuck & (left[:, 0] > capacity // 2), 1].sum()), -(-int((left[stuck, 0] * left[stuck, 1]).sum()) // capacity))
+        need = int(left[stuck & (left[:, 0] > capacity // 2), 1].sum())  # no two of these share a sequence
+        if stuck.any() and not need:  # then the largest get as many as they fill, and the rest sees what these leave
+            size, n = left[stuck][0]
+            need = -(-int(n) // (capacity // int(size)))
         if need:  # the gaps of new sequences hold all; the largest of the stuck take them
             gaps[capacity], known, opened = [(opened, need)], np.append(known, capacity), opened + need
         for k in range(len(left)):
