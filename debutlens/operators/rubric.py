@@ -69,7 +69,8 @@ def rubric(df: DataFrame, sectors: DataFrame | None = None, legacy_cagr: bool =
         "interest_coverage": F.when(c["operating_income_t0"] != 0, over(c["operating_income_t0"], c["interest_expense"], 1)),
     })
     z = lambda x: F.coalesce(x, F.lit(0.0))
-    score = lambda x: F.round(F.least(F.lit(100.0), F.greatest(F.lit(0.0), x)), 1)
+    # at 15 decimals first: the last bit of a sum of few digits doesn't tell on which side of a tie it is
+    score = lambda x: F.round(F.least(F.lit(100.0), F.greatest(F.lit(0.0), x)).cast("decimal(38,15)"), 1).cast("double")
     by_per = F.when(F.col("per_vs_sector").isNotNull(), (1 - F.col("per_vs_sector")) * 30).when(F.col("per_flag") == "deficit", -20.0)
     d = d.withColumns({
         "valuation_score": score(50 + z(by_per) + z((1 - F.col("pbr_vs_sector")) * 10)),

@@ -13,6 +13,8 @@ from debutlens.functions import extract
 from debutlens.functions.cleaning import clean_name, clip, day, number
 from debutlens.operators import catalog, diagnostics, features, joins, keyed_tables, rubric, scoring
 from debutlens.operators.quantiles import exact_percentiles, medians
+from debutlens.plans import proxies as P
+from debutlens.plans.queries import QUERIES
 from debutlens.sources import tables
 
 D = dt.date
@@ -287,3 +289,31 @@ def test_percentiles_equal_the_built_in_ones(spark):
     assert exact_percentiles(df.limit(0), "v", shares).first() == (None,) * 5
     assert exact_percentiles(df.limit(0), "v", shares, ["k"]).count() == 0
     assert medians(df.filter("k = 'two'").withColumn("w", F.lit(None).cast("double")), ["v", "w"]) == {"v": 1.5, "w": None}
+
+
+def test_scores_next_to_a_tie_round_as_their_sql(spark):
+    """50 - 36.82 - 7.53 is 5.65, but a bit less in doubles."""
+    row = {"corp_code": 1, "sector": "x", "revenue_t0": 233692.67, "revenue_t1": 275129.14, "revenue_t2": 585353.53, "offering_price": 1.0, "total_shares": 1.0}
+    assert rubric.rubric(spark.createDataFrame([row])).first()["growth_score"] == 5.7
+
+
+def order_tables(spark, path, lines):
+    """lines: key, price, discount; each an order of its own customer."""
+    spark.createDataFrame([(k, 1, 1.0, p, d, 0.0) for k, p, d in lines], "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double").write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame([(k, k, "F", dt.datetime(2000, 1, 3)) for k, *_ in lines], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame([(k, f"c{k}", "x") for k, *_ in lines], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{path}/customer.parquet")
+    return str(path)
+
+
+def test_prices_next_to_a_tie_round_as_their_sql(spark, tmp_path):
+    """21747.115 and 1213.245 in doubles: what is written, and what a hundred times it is, lie on two sides of the tie."""
+    d = order_tables(spark, tmp_path, [(387439, 22891.70, 0.05), (410860, 1348.05, 0.10)])
+    got = {r["listing_id"]: r["open_price"] for r in P.listings(spark, d).collect()}
+    assert got == {387439: 21747.12, 410860: 1213.24}
+    assert QUERIES["extreme_returns"](spark, d).first()["n"] == 1
+
+
+def test_targets_next_to_a_tie_round_as_their_sql(spark, tmp_path):
+    d = order_tables(spark, tmp_path, [(387439, 22891.70, 0.05), (410860, 1348.05, 0.10)])
+    got = {r["listing_id"]: (r["open_return_pct"], r["far"]) for r in QUERIES["listing_targets"](spark, d).collect()}
+    assert got == {387439: (-5.0, False), 410860: (-10.0004, True)}
