@@ -176,3 +176,14 @@ def test_pages_catalog_and_conforming_tables(spark, tmp_path):
         tables.write_table(spark.createDataFrame([(1, "x")], "id int, other string"), path, name)
         read = tables.read_table(spark, path, name)
         assert len(read.columns) == n and read.first()["id"] == 1 and read.schema == tables.schema(name)
+
+
+def test_ranges_of_counted_values_have_bounded_rows(spark, monkeypatch):
+    """However few the shuffle's partitions are, and with the same medians."""
+    tables, plain = [], quantiles.stored
+    monkeypatch.setattr(quantiles, "SLICE_ROWS", 100, raising=False)
+    monkeypatch.setattr(quantiles, "stored", lambda df, name: tables.append(plain(df, name)) or tables[-1])
+    got = quantiles.exact_percentiles(spark.range(4000).selectExpr("id * 1.5D as v"), "v", {"m": 0.5}).first()["m"]
+    assert got == 3999 * 1.5 / 2
+    rows = [r["count"] for r in tables[-1].groupBy("slice").count().collect()]
+    assert sum(rows) == 4000 and max(rows) <= 300
