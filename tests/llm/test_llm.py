@@ -578,3 +578,24 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     none = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, str(tmp_path)).count() == 0
+
+
+def test_a_pair_of_near_copies_is_compared_once_however_many_shingles_it_shares(spark, monkeypatch):
+    """Texts just below the bound, so that no link spares any pair; each shares dozens of first shingles with the others."""
+    base, asked, docs = [f"w{i}" for i in range(200)], [], []
+    for i in range(12):
+        words, a, b = list(base), 6 + 7 * i, 104 + 7 * i
+        words[a], words[b], words[b + 1] = f"a{i}", f"b{i}", f"c{i}"
+        docs.append((i + 1, " ".join(words)))
+    plain = similar.verified
+
+    def seen(pairs, *more):
+        kept = similar.stored(pairs, "seen")
+        asked.append((kept.count(), kept.distinct().count()))
+        return plain(kept, *more)
+
+    monkeypatch.setattr(similar, "verified", seen)
+    got = sorted(r["doc_id"] for r in similar.one_of_each_group(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == groups_by_similarity(docs)
+    rows, distinct = asked[-1]
+    assert 10 < distinct and rows <= 2 * distinct  # both orders at most
