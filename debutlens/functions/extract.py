@@ -38,13 +38,14 @@ def found(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def whole(c: Column) -> Column:
-    return F.regexp_replace(c, ",", "").try_cast("long")
+    """A whole number with or without commas; of anything else, no text too, NULL."""
+    return F.replace(c, F.lit(","), F.lit("")).try_cast("long")
 
 
 def shares_after(text: Column, labels: str, unit: str = "주", skip_count_column: bool = False) -> Column:
     """The number before `unit` that follows a label; optionally past one whole number in between."""
     between = "[^0-9]{0,120}(?:[0-9,]+\\s+)?" if skip_count_column else "[^0-9]{0,120}"
-    return whole(found(text, f"(?:{labels}){between}([0-9,]+)\\s*{unit}"))
+    return whole(F.regexp_extract(text, f"(?:{labels}){between}([0-9,]+)\\s*{unit}", 1))
 
 
 def lockup_months(text: Column) -> Column:
@@ -62,9 +63,9 @@ def risk_marks(text: Column, mark: str = RISK_MARK) -> Column:
 def offering_fields(text: Column) -> dict[str, Column]:
     date = F.concat_ws("-", *[F.regexp_extract(text, LISTING, g) for g in (1, 2, 3)])
     fields = {
-        "price_band_low": whole(found(text, BAND, 1)),
-        "price_band_high": whole(found(text, BAND, 2)),
-        "offering_price": whole(found(text, CONFIRMED)),
+        "price_band_low": whole(F.regexp_extract(text, BAND, 1)),
+        "price_band_high": whole(F.regexp_extract(text, BAND, 2)),
+        "offering_price": whole(F.regexp_extract(text, CONFIRMED, 1)),
         "new_shares": shares_after(text, NEW_SHARES),
         "secondary_shares": shares_after(text, SECONDARY_SHARES),
         "total_post_listing_shares": shares_after(text, TOTAL_SHARES),
@@ -76,11 +77,35 @@ def offering_fields(text: Column) -> dict[str, Column]:
     return fields | {"parse_success": F.coalesce(*[c.cast("string") for c in fields.values()]).isNotNull()}
 
 
+def with_offering_fields(df: DataFrame, text: Column, keep: list[str]) -> DataFrame:
+    """Columns `keep` and `offering_fields`; parse_success reads the fields, so that no pattern is searched twice."""
+    fields = offering_fields(text)
+    own = [c for c in fields if c != "parse_success"]
+    told = df.select(*keep, *[fields[c].alias(c) for c in own])
+    return told.withColumn("parse_success", F.coalesce(*[F.col(c).cast("string") for c in own]).isNotNull())
+
+
+def demand_numbers(text: Column, skip_count_column: bool = False) -> dict[str, Column]:
+    """The numbers that a demand table gives: the ratio of demand, the shares of all, and those of each period."""
+    labels = {"total": "합계"} | LOCKUP_LABELS
+    return {"demand": number(F.regexp_extract(text, DEMAND, 1))} | {k: shares_after(text, v, skip_count_column=skip_count_column) for k, v in labels.items()}
+
+
+def demand_of(numbers: dict[str, Column]) -> dict[str, Column]:
+    total, demand = numbers["total"], numbers["demand"]
+    share = lambda n: F.bround(clip(F.when(total != 0, F.try_divide(n, total)), 0.0, 1.0), 6)
+    return {"institutional_demand_ratio": demand} | {k: share(numbers[k]) for k in LOCKUP_LABELS} | {"parse_success": demand.isNotNull() | F.coalesce(total != 0, F.lit(False))}
+
+
 def demand_fields(text: Column, skip_count_column: bool = False) -> dict[str, Column]:
-    total = shares_after(text, "합계", skip_count_column=skip_count_column)
-    share = lambda labels: F.bround(clip(F.try_divide(shares_after(text, labels, skip_count_column=skip_count_column), F.nullif(total, F.lit(0))), 0.0, 1.0), 6)
-    demand = number(found(text, DEMAND))
-    return {"institutional_demand_ratio": demand} | {k: share(v) for k, v in LOCKUP_LABELS.items()} | {"parse_success": demand.isNotNull() | F.coalesce(total != 0, F.lit(False))}
+    return demand_of(demand_numbers(text, skip_count_column))
+
+
+def with_demand_fields(df: DataFrame, text: Column, keep: list[str], skip_count_column: bool = False) -> DataFrame:
+    """Columns `keep` and `demand_fields`, which read the numbers as columns, so that no pattern is searched twice."""
+    numbers = demand_numbers(text, skip_count_column)
+    read = df.select(*keep, *[c.alias(f"__{k}") for k, c in numbers.items()])
+    return read.select(*keep, *[c.alias(k) for k, c in demand_of({k: F.col(f"__{k}") for k in numbers}).items()])
 
 
 def underwriter_tier(name: Column, tier_1: tuple[str, ...] = TIER_1, tier_2: tuple[str, ...] = TIER_2) -> Column:

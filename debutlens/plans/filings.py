@@ -75,8 +75,7 @@ def demand_fields(spark, d):
     sums = P.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("listing_id")).agg(F.max("l_linenumber").alias("r"), F.sum("l_quantity").alias("total"), *[part(n).alias(f"q{n}") for n, _ in DEMAND_LABELS.values()])
     rows = [F.concat(F.lit(f" {label} "), grouped(f"q{n}"), F.lit(" 주")) for n, label in reversed(DEMAND_LABELS.values())]
     text = F.concat(F.lit("경쟁률 "), F.col("r").cast("string"), F.lit(".5 : 1 합계 "), grouped("total"), F.lit(" 주"), *rows)
-    texts = sums.select("listing_id", text.alias("t"))
-    return texts.select("listing_id", *[c.alias(k) for k, c in extract.demand_fields(F.col("t")).items()])
+    return extract.with_demand_fields(sums.select("listing_id", text.alias("t")), F.col("t"), ["listing_id"])
 
 
 def filing_texts(spark, d) -> DataFrame:
@@ -101,7 +100,7 @@ SELECT listing_id, floor(price_band_low)::BIGINT AS price_band_low, floor(price_
 """)
 def filing_fields(spark, d):
     """All ten fields of a filing."""
-    return filing_texts(spark, d).select("listing_id", *[c.alias(k) for k, c in extract.offering_fields(F.col("text")).items()])
+    return extract.with_offering_fields(filing_texts(spark, d), F.col("text"), ["listing_id"])
 
 
 @query("""
