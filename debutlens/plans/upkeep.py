@@ -12,7 +12,7 @@ from ..sources import tables
 from ..sources.store import scratch, stored
 from ..sources.versions import VersionedTable
 from . import proxies as P
-from .jobs import WIDE, imputed_sql, raw_value
+from .jobs import WIDE, imputed_sql, wide_rows
 from .queries import _master, query, returns
 
 
@@ -97,7 +97,7 @@ def training_medians(spark, d):
 def pipeline_imputed(spark, d):
     """All core and secondary features through a pipeline of imputer and assembler, fitted, saved and loaded."""
     names = [f.name for f in WIDE]
-    rows = stored(P.offers(spark, d).select("listing_id"), "offers").select("listing_id", *[F.expr(raw_value(i, f)).cast("double").alias(f.name) for i, f in enumerate(WIDE)])
+    rows = wide_rows(spark, d)
     path = scratch(spark, "pipeline")
     Pipeline(stages=[imputing.CatalogImputer(names=names), VectorAssembler(inputCols=names, outputCol="x")]).fit(rows).write().save(path)
     out = PipelineModel.load(path).transform(rows).select("listing_id", vector_to_array("x").alias("x"))
