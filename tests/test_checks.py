@@ -86,3 +86,27 @@ def test_options_of_metrics(spark):
     assert (every["n"], every["mae"]) == (4, 3.75) and (newest["n"], newest["mae"], newest["coverage_90"]) == (3, 4.0, 0.6667)
     own, literal = (diagnostics.error_pattern(rows, o).first()["direction_acc"] for o in (False, True))
     assert own == 1.0 and literal == 0.5  # error + actual: 7, 5, 2, -2 with actual 4, 4, -2, 5
+
+
+def test_rows_of_a_split_join_are_sent_a_bounded_number_of_times(spark):
+    sc = spark.sparkContext
+    left, right = (spark.range(n).select(F.lit("hot").alias("k"), F.col("id").alias(c)) for n, c in ((600, "x.1"), (400, "y")))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sc.setJobGroup("pairs", "pairs")
+    try:
+        out = joins.split_join(left, right, "k", 2)  # slices of two rows send each row 200 or 300 times
+        got = out.toPandas()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert list(got.columns) == ["k", "x.1", "y"] and len(got) == len(got.drop_duplicates()) == 240_000
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup("pairs") for s in sc.statusTracker().getJobInfo(j).stageIds}
+    sent = sum(sc._jsc.sc().statusStore().lastStageAttempt(s).shuffleWriteRecords() for s in stages)
+    assert 64 * (600 + 400) <= sent < 64 * (600 + 400) + 100  # 240 000 and more before
+
+
+@pytest.mark.parametrize(("rows", "most", "want"), [(1, 20, 1), (21, 20, 2), (1280, 20, 64), (120_000, 43, 64), (1_800_000, 43, 64), (64_000_001, 20, 65), (3_000_001, 1_000_000, 4), (200_000_000, 2_000_000, 100)])
+def test_slices_of_a_hot_name(spark, rows, most, want):
+    assert spark.range(1).select(joins.slices(F.lit(rows).cast("long"), most)).first()[0] == want
