@@ -3,9 +3,13 @@
 import datetime as dt
 import html
 import json
+import math
 import random
 import re
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +17,7 @@ from debutlens.functions import extract
 from debutlens.functions.cleaning import clean_name, clip, day, number
 from debutlens.operators import catalog, diagnostics, features, joins, keyed_tables, rubric, scoring
 from debutlens.operators.quantiles import exact_percentiles, medians
+from debutlens.plans import filings
 from debutlens.plans import proxies as P
 from debutlens.plans.queries import QUERIES
 from debutlens.sources import tables
@@ -317,3 +322,18 @@ def test_targets_next_to_a_tie_round_as_their_sql(spark, tmp_path):
     d = order_tables(spark, tmp_path, [(387439, 22891.70, 0.05), (410860, 1348.05, 0.10)])
     got = {r["listing_id"]: (r["open_return_pct"], r["far"]) for r in QUERIES["listing_targets"](spark, d).collect()}
     assert got == {387439: (-5.0, False), 410860: (-10.0004, True)}
+
+
+def test_prices_of_filings_are_added_as_their_lines_lie(spark, tmp_path):
+    """Next to a whole number the mean's digits depend on the order of its sum: another one gives a unit less or more."""
+    rng, a, b, c = random.Random(3), 0.0, 0.0, 0.0
+    while math.floor((a + b + c) / 3) == math.floor((b + c + a) / 3):
+        a, b, c = (round(rng.uniform(1e3, 1e5), 2) for _ in range(3))
+    (tmp_path / "lineitem.parquet").mkdir()
+    for i, prices in enumerate(([a], [b, None, c])):  # two files, so two tasks
+        n = len(prices)
+        lines = {"l_orderkey": [7] * n, "l_linenumber": list(range(n)), "l_quantity": [1.0] * n, "l_extendedprice": prices, "l_returnflag": ["N"] * n}
+        pq.write_table(pa.table(lines), tmp_path / "lineitem.parquet" / f"{i}.parquet")
+    with duckdb.connect(config={"threads": 1}) as con:
+        (want,) = con.execute(f"SELECT floor(avg(l_extendedprice)) FROM '{tmp_path}/lineitem.parquet/*.parquet'").fetchone()
+    assert filings.filing_fields(spark, str(tmp_path)).first()["offering_price"] == want == math.floor((a + b + c) / 3)
