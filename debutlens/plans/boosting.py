@@ -128,7 +128,7 @@ SELECT g AS "window", id AS listing_id, round(y, 4) AS actual, {", ".join(OUT[:-
 """)
 def boosted_windows(spark, d):
     """The predictions of all walk-forward windows, each trained, filled and calibrated on what lies before its split."""
-    out = model.walk_forward(rows_of(spark, d), FEATURES, threads=4, **STUMPS)
+    out = model.walk_forward(rows_of(spark, d), FEATURES, threads=4, whole=True, **STUMPS)
     return out.select("window", "listing_id", F.round("actual", 4).alias("actual"), *OUT, F.round("abs_error", 4).alias("abs_error"))
 
 
