@@ -53,3 +53,32 @@ def test_registered_back_tests_fail_with_a_window(spark, monkeypatch, query):
     failing(monkeypatch, "fit", 1)
     with pytest.raises(RuntimeError, match="failed by ValueError: lost file"):
         query(spark, "/root/testdata/sf0.001")
+
+
+def test_registered_folds_have_the_operators_own_settings(spark, monkeypatch):
+    seen = []
+
+    class Small(model.GBTRegressor):
+        """Notes what it is asked for, and fits one tree of one split."""
+
+        def __init__(self, **asked):
+            seen.append(asked)
+            super().__init__(**(asked | {"maxIter": 1, "maxDepth": 1}))
+
+    rows = listings(spark, 60).selectExpr("*", *[f"double(listing_id % {i + 3}) as {c}" for i, c in enumerate(queries.MODEL_FEATURES)])
+    monkeypatch.setattr(model, "GBTRegressor", Small)
+    monkeypatch.setattr(jobs, "model_rows", lambda *_: rows)
+    assert jobs.cross_validated(spark, "").count() == 1
+    assert len(seen) == 5 and all(model.SETTINGS.items() <= asked.items() for asked in seen)
+
+
+@pytest.mark.parametrize("folds", [-1, 0, 1, 31])
+def test_folds_that_leave_nothing_to_fit_or_to_judge_are_refused(spark, folds):
+    with pytest.raises(ValueError, match=f"30 rows can't be dealt into {folds} folds"):
+        model.cross_validate(listings(spark, 30), ["x"], "open_return_pct", ["listing_date", "listing_id"], folds, maxIter=1, maxDepth=1)
+
+
+def test_errors_of_folds_do_not_depend_on_how_the_rows_lie(spark):
+    rows = listings(spark, 90)
+    run = lambda df: model.cross_validate(df, ["x"], "open_return_pct", ["listing_date", "listing_id"], 3, 3, maxIter=2, maxDepth=2).collect()
+    assert run(rows.coalesce(1)) == run(rows.repartition(7)) == run(rows.sort("x", "listing_id"))
