@@ -90,7 +90,7 @@ def filing_texts(spark, d) -> DataFrame:
     risks = F.element_at(F.array(*map(F.lit, ("", " 투자위험요소 가. 시장", " 투자위험요소 가. 시장 나. 영업", " 위험요소 1. 시장 2. 영업 ③ 재무"))), (key % 4 + 1).cast("int"))
     parts = ["<p>희망 공모가액 ", grouped("price_band_low"), " ~ ", grouped("price_band_high"), " 원</p><p>확정&nbsp;공모가 ", grouped("offering_price"), " 원</p> 신주모집 ", grouped("new_shares"), " 주 구주매출 ", grouped("secondary_shares"), " 주 상장예정주식수 ", grouped("total_post_listing_shares"), " 주", lead, kept, date, risks]
     html = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
-    return P.offers(spark, d, P.ordered_mean("l_extendedprice")).select("listing_id", extract.plain_text(html).alias("text"))
+    return P.offers(spark, d, ordered=True).select("listing_id", extract.plain_text(html).alias("text"))
 
 
 @query("""
